@@ -25,6 +25,15 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
+
+
 def _rows(columns: list[str], rows) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
 
@@ -42,6 +51,10 @@ def compare(con: duckdb.DuckDBPyConnection, name: str, result: DataFrame) -> str
     columns = [c[0] for c in answer.description]
     if sorted(columns) != sorted(result.columns):
         return f"columns {sorted(result.columns)} are not {sorted(columns)}"
+    types = {c[0]: str(c[1]) for c in answer.description}
+    odd = {c: (t, types[c]) for c, t in result.dtypes if TYPES.get(t) != types[c]}
+    if odd:
+        return f"types differ: {odd}"
     wanted = _rows(columns, answer.fetchall())
     got = _rows(result.columns, result.collect())
     if got == wanted:

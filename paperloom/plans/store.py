@@ -91,15 +91,17 @@ class PaperStore:
     def papers(self) -> DataFrame:
         """Current papers: newest snapshot plus the changes of later finished runs."""
         snapshot = self.last_snapshot()
-        changes = self._read("changes", schemas.CHANGES).filter(
-            (F.col("run_id") > snapshot) & (F.col("run_id") <= self.last_run_id())
+        changes = (
+            self._read("changes", schemas.CHANGES)
+            .filter((F.col("run_id") > snapshot) & (F.col("run_id") <= self.last_run_id()))
+            .withColumn("published_month", F.left("published", F.lit(7)))
         )
-        if not snapshot:
+        if snapshot:
+            base = self._read("base", schemas.BASE).filter(F.col("snapshot") == snapshot)
+            current = apply_changes(base, changes)
+        else:
             current = latest_changes(changes)
-            return current.withColumn("published_month", F.left("published", F.lit(7)))
-        base = self._read("base", schemas.BASE).filter(F.col("snapshot") == snapshot)
-        changes = changes.withColumn("published_month", F.left("published", F.lit(7)))
-        return apply_changes(base, changes)
+        return current.select(*schemas.CHANGES.fieldNames(), "published_month")
 
     def upsert(self, papers: DataFrame) -> None:
         """Log papers that carry ``run_id`` and ``latest_seen_at``, unique per run."""
