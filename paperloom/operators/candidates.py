@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.config import FilterConfig
 from paperloom.functions.dates import day_after
-from paperloom.operators.terms import ALL_TIERS, QUERY_TIER, match_terms
+from paperloom.operators.terms import ALL_TIERS, QUERY_TIER, constant, match_terms
 
 _SOURCES = "array<struct<source_ordinal:int,source_name:string>>"
 
@@ -30,16 +30,13 @@ def in_window(
 
 
 def category_sources(categories: Column, config: FilterConfig) -> Column:
-    offered = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("source_ordinal"),
-                F.lit(f"category:{name}").alias("source_name"),
-                F.lit(name).alias("category"),
-            )
+    offered = constant(
+        [
+            {"source_ordinal": i, "source_name": f"category:{name}", "category": name}
             for i, name in enumerate(config.categories)
-        ]
-    ).cast("array<struct<source_ordinal:int,source_name:string,category:string>>")
+        ],
+        "array<struct<source_ordinal:int,source_name:string,category:string>>",
+    )
     hit = F.filter(
         offered,
         lambda s: F.coalesce(F.array_contains(categories, s["category"]), F.lit(False)),

@@ -6,7 +6,9 @@ The hits feed scoring, reasons, the anchor rule and keyword sources alike.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,61 +19,63 @@ SCORING_TIERS = ("core", "adjacent", "exclude", "anchor")
 QUERY_TIER = "query"
 ALL_TIERS = (*SCORING_TIERS, QUERY_TIER)
 
-_ENTRY = (
-    "array<struct<term:string,tiers:array<string>,"
-    "title_points:int,summary_points:int,chunks:array<int>>>"
-)
+_ENTRY = "struct<tiers:array<string>,title_points:int,summary_points:int,chunks:array<int>>"
 
 
-def term_entries(config: FilterConfig, tiers: Iterable[str] = ALL_TIERS) -> Column:
-    """Distinct terms with the lists they are on and their total points.
+def constant(value: object, type_name: str) -> Column:
+    """A list or mapping as one literal.
+
+    The optimizer folds the parsed text into the plan once, where an expression per
+    element would be built and analyzed again with every step on the frame.
+    """
+    return F.from_json(F.lit(json.dumps(value)), type_name)
+
+
+@dataclass
+class TermEntry:
+    """What one distinct term stands for: its lists, points and keyword chunks."""
+
+    tiers: list[str] = field(default_factory=list)
+    title_points: int = 0
+    summary_points: int = 0
+    chunks: list[int] = field(default_factory=list)
+
+
+def term_entries(config: FilterConfig, tiers: Iterable[str] = ALL_TIERS) -> dict[str, TermEntry]:
+    """Distinct terms of the wanted lists.
 
     A term listed twice, or on two lists, adds up here.  Titles and summaries are
     lowered before matching, scoring terms are not; query terms are.
     """
-    wanted = set(tiers)
-    listed = [
-        ("core", t, defaults.CORE_TITLE_POINTS, defaults.CORE_SUMMARY_POINTS, None)
-        for t in config.core_terms
-    ]
-    listed += [
-        ("adjacent", t, defaults.ADJACENT_TITLE_POINTS, defaults.ADJACENT_SUMMARY_POINTS, None)
-        for t in config.adjacent_terms
-    ]
-    listed += [
-        ("exclude", t, defaults.EXCLUDE_POINTS, defaults.EXCLUDE_POINTS, None)
-        for t in config.exclude_terms
-    ]
-    listed += [("anchor", t, 0, 0, None) for t in config.anchor_terms]
-    listed += [
-        (QUERY_TIER, t.lower(), 0, 0, config.keyword_chunk(i))
-        for i, t in enumerate(config.keywords)
-    ]
-    entries: dict[str, dict] = {}
-    for tier, term, title_points, summary_points, chunk in listed:
-        if tier not in wanted:
+    points = {
+        "core": (config.core_terms, defaults.CORE_TITLE_POINTS, defaults.CORE_SUMMARY_POINTS),
+        "adjacent": (
+            config.adjacent_terms, defaults.ADJACENT_TITLE_POINTS, defaults.ADJACENT_SUMMARY_POINTS,
+        ),
+        "exclude": (config.exclude_terms, defaults.EXCLUDE_POINTS, defaults.EXCLUDE_POINTS),
+        "anchor": (config.anchor_terms, 0, 0),
+        QUERY_TIER: ([term.lower() for term in config.keywords], 0, 0),
+    }
+    entries: dict[str, TermEntry] = {}
+    for tier in ALL_TIERS:
+        if tier not in tiers:
             continue
-        entry = entries.setdefault(
-            term, {"tiers": [], "title": 0, "summary": 0, "chunks": []}
-        )
-        if tier not in entry["tiers"]:
-            entry["tiers"].append(tier)
-        entry["title"] += title_points
-        entry["summary"] += summary_points
-        if chunk is not None and chunk not in entry["chunks"]:
-            entry["chunks"].append(chunk)
-    return F.array(
-        *[
-            F.struct(
-                F.lit(term).alias("term"),
-                F.array(*map(F.lit, e["tiers"])).cast("array<string>").alias("tiers"),
-                F.lit(e["title"]).alias("title_points"),
-                F.lit(e["summary"]).alias("summary_points"),
-                F.array(*map(F.lit, e["chunks"])).cast("array<int>").alias("chunks"),
-            )
-            for term, e in entries.items()
-        ]
-    ).cast(_ENTRY)
+        terms, in_title, in_summary = points[tier]
+        for ordinal, term in enumerate(terms):
+            entry = entries.setdefault(term, TermEntry())
+            entry.title_points += in_title
+            entry.summary_points += in_summary
+            if tier not in entry.tiers:
+                entry.tiers.append(tier)
+            if tier == QUERY_TIER and config.keyword_chunk(ordinal) not in entry.chunks:
+                entry.chunks.append(config.keyword_chunk(ordinal))
+    return entries
+
+
+def terms_in(text: Column, terms: Iterable[str]) -> Column:
+    """Those of the terms that a text contains, as an array."""
+    listed = constant(list(terms), "array<string>")
+    return F.filter(listed, lambda term: F.contains(text, term))
 
 
 def match_terms(
@@ -83,9 +87,9 @@ def match_terms(
     """Add the array of terms found in each paper, with the place they were found.
 
     ``place`` is ``title`` when the title has the term and ``summary`` when only the
-    summary does.  The hits come out of an ``explode`` over an array of exactly one
-    element: the texts are lowered once per paper rather than once per term, and no
-    later filter on a score can pull a second round of matching below it.
+    summary does.  The search itself comes out of an ``explode`` over an array of
+    exactly one element: the texts are lowered once per paper rather than once per
+    term, and no later filter on a score can pull a second search below it.
     """
     entries = term_entries(config, tiers)
     texts = F.array(
@@ -94,28 +98,38 @@ def match_terms(
             F.lower(F.coalesce(F.col("summary"), F.lit(""))).alias("summary"),
         )
     )
+    found = F.transform(
+        texts,
+        lambda text: F.struct(
+            terms_in(text["title"], entries).alias("title"),
+            terms_in(text["summary"], entries).alias("summary"),
+        ),
+    )
+    title = F.col(f"{into}.title")
+    summary_only = F.array_except(F.col(f"{into}.summary"), title)
+    hits = F.concat(_described(title, "title", entries), _described(summary_only, "summary", entries))
+    return papers.select("*", F.explode(found).alias(into)).withColumn(into, hits)
 
-    def hits(text: Column) -> Column:
-        placed = F.transform(
-            entries,
-            lambda entry: F.struct(
-                entry["term"].alias("term"),
-                entry["tiers"].alias("tiers"),
-                entry["title_points"].alias("title_points"),
-                entry["summary_points"].alias("summary_points"),
-                entry["chunks"].alias("chunks"),
-                F.when(F.contains(text["title"], entry["term"]), "title")
-                .when(F.contains(text["summary"], entry["term"]), "summary")
-                .alias("place"),
-            ),
+
+def _described(words: Column, place: str, entries: dict[str, TermEntry]) -> Column:
+    lookup = constant({term: asdict(entry) for term, entry in entries.items()}, f"map<string,{_ENTRY}>")
+
+    def described(word: Column) -> Column:
+        entry = lookup[word]
+        return F.struct(
+            word.alias("term"),
+            *[entry[name].alias(name) for name in ("tiers", "title_points", "summary_points", "chunks")],
+            F.lit(place).alias("place"),
         )
-        return F.filter(placed, lambda hit: hit["place"].isNotNull())
 
-    return papers.select("*", F.explode(F.transform(texts, hits)).alias(into))
+    return F.transform(words, described)
 
 
 def on_tier(hit: Column, *tiers: str) -> Column:
-    return F.arrays_overlap(hit["tiers"], F.array(*map(F.lit, tiers)))
+    on = F.array_contains(hit["tiers"], tiers[0])
+    for tier in tiers[1:]:
+        on = on | F.array_contains(hit["tiers"], tier)
+    return on
 
 
 def term_matches(papers: DataFrame, config: FilterConfig) -> DataFrame:
@@ -136,14 +150,9 @@ def context_gated_terms(
     papers: DataFrame, gates: dict[str, list[str]] = defaults.CONTEXT_GATES
 ) -> DataFrame:
     """Terms that count because one of their context terms is in the same paper."""
-    rules = F.array(
-        *[
-            F.struct(
-                F.lit(term).alias("term"),
-                F.array(*map(F.lit, contexts)).alias("contexts"),
-            )
-            for term, contexts in gates.items()
-        ]
+    rules = constant(
+        [{"term": term, "contexts": contexts} for term, contexts in gates.items()],
+        "array<struct<term:string,contexts:array<string>>>",
     )
     texts = F.array(
         F.struct(F.lower("title").alias("title"), F.lower("summary").alias("summary"))
