@@ -211,6 +211,17 @@ FROM feed_pages GROUP BY source_name, source_ordinal""",
     "quarantined_pages": with_papers(
         "SELECT source_ordinal, source_name, page_start FROM feed_pages WHERE corrupt", FEED_CTE
     ),
+    "quarantined_records": with_papers(
+        """SELECT source_ordinal, source_name, page_start, NULL::INT AS pos, NULL::VARCHAR AS abs_url,
+  'unreadable page' AS reason FROM feed_pages WHERE corrupt
+UNION ALL
+SELECT source_ordinal, source_name, page_start, pos, abs_url, 'no title' FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY source_ordinal, page_start ORDER BY CAST(paper_id AS BIGINT)) - 1 AS INT) AS pos
+  FROM feed_rows)
+WHERE NOT ((page_start // 200) % 3 = 1 OR (page_start // 200) % 4 = 2)
+  AND length(replace(replace(replace(summary, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')) <= 40""",
+        FEED_CTE,
+    ),
     "config_terms": with_papers(
         """SELECT tier, CAST(ordinal AS INT) AS ordinal, term, (
   SELECT count(*) FROM papers p
@@ -475,6 +486,7 @@ GROUP BY w.window_start, w.window_end, w.run_id""",
         "SELECT (month(d) - 1) * 5 + (day(d) - 1) // 7 + 1 AS run_id, paper_id, label, sources FROM year", YEAR
     ),
     "upsert_papers": with_papers("SELECT * FROM stored", THREE_RUNS),
+    "upsert_onto_base": with_papers("SELECT * FROM stored", THREE_RUNS),
     "run_history": with_papers(
         """SELECT r.paper_id, r.run_id, r.label, w.window_start, w.window_end, s.title
 FROM runs r JOIN (

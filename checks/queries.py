@@ -147,6 +147,13 @@ def quarantined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corrupt.select(*feed.PAGE_COLUMNS)
 
 
+def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable pages and, in the others, entries whose title was taken out by rule."""
+    pages = damaged_pages(spark, sf_dir)
+    gone = F.regexp_replace("value", r"<title>[^<]*</title>(?=<summary>[^<]{0,40}</summary>)", "")
+    return feed.quarantine(feed.parse_pages(pages.withColumn("value", gone)))
+
+
 def config_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The term dimension with the number of papers each term is in."""
     found = (
@@ -598,15 +605,20 @@ STORED = ["paper_id", "title", "published", "primary_category", "latest_seen_at"
 
 
 def stored_papers(runs: DataFrame) -> DataFrame:
-    """Run 1 as the base, the relevant papers of runs 2 and 3 on top."""
-    kept = score.relevant(runs).select(*STORED)
-    return store.apply_changes(kept.filter("run_id = 1"), kept.filter("run_id > 1"))
+    """Relevant papers of all runs as a change log, newest run on top."""
+    return store.latest_changes(score.relevant(runs).select(*STORED))
 
 
 def upsert_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_papers(three_runs(spark, sf_dir))
 
 
+def upsert_onto_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run 1 as a compacted base, the changes of runs 2 and 3 applied to it."""
+    kept = score.relevant(three_runs(spark, sf_dir)).select(*STORED)
+    return store.apply_changes(kept.filter("run_id = 1"), kept.filter("run_id > 1"))
+
+
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = three_runs(spark, sf_dir)
     log = runs.groupBy("run_id").agg(
@@ -646,6 +658,7 @@ QUERIES = {
         feed_ingest,
         ingest_completeness,
         quarantined_pages,
+        quarantined_records,
         config_terms,
         config_chunks,
         papers_scan,
@@ -692,6 +705,7 @@ QUERIES = {
         run_log,
         run_papers,
         upsert_papers,
+        upsert_onto_base,
         run_history,
         run_orphans,
         shortlist,

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom import defaults, schemas
+from paperloom.functions.literals import small_table
 
 
 @dataclass(frozen=True)
@@ -74,11 +75,9 @@ class FilterConfig:
 
     def term_table(self, spark: SparkSession) -> DataFrame:
         """The lists as a ``terms(tier, ordinal, term)`` dimension."""
-        rows = [tuple(list(lst) if lst is not None else None for lst in self._lists())]
-        return unpivot_filters(spark.createDataFrame(rows, schemas.FILTER_FILE))
-
-    def _lists(self) -> list[tuple[str, ...] | None]:
-        return [getattr(self, name) for name in schemas.FILTER_FILE.fieldNames()]
+        lists = {name: getattr(self, name) for name in schemas.FILTER_FILE.fieldNames()}
+        fields = ",".join(f"{name}:array<string>" for name in lists)
+        return unpivot_filters(small_table(spark, [lists], fields))
 
 
 def filter_file(spark: SparkSession, path: str) -> DataFrame:

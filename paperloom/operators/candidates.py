@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.config import FilterConfig
 from paperloom.functions.dates import day_after
-from paperloom.operators.terms import ALL_TIERS, QUERY_TIER, constant, match_terms
+from paperloom.functions.literals import constant
+from paperloom.operators.terms import ALL_TIERS, QUERY_TIER, match_terms
 
 _SOURCES = "array<struct<source_ordinal:int,source_name:string>>"
 

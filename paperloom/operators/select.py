@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.functions.dates import day_after
+from paperloom.functions.literals import small_table
 from paperloom.functions.text import contains_ignoring_case
 from paperloom.operators.candidates import in_window
 
@@ -49,7 +50,8 @@ def select_papers(
     store's table the date bounds prune month partitions as well as row groups.
     """
     if ids is not None and not isinstance(ids, DataFrame):
-        ids = papers.sparkSession.createDataFrame([(i,) for i in ids], "paper_id string")
+        rows = [{"paper_id": i} for i in ids]
+        ids = small_table(papers.sparkSession, rows, "paper_id:string")
     if ids is not None:
         papers = papers.join(ids.select("paper_id"), "paper_id", "left_semi")
     if categories:

@@ -6,7 +6,6 @@ The hits feed scoring, reasons, the anchor rule and keyword sources alike.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field
 
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom import defaults
 from paperloom.config import FilterConfig
+from paperloom.functions.literals import constant
 
 SCORING_TIERS = ("core", "adjacent", "exclude", "anchor")
 QUERY_TIER = "query"
@@ -22,15 +22,6 @@ ALL_TIERS = (*SCORING_TIERS, QUERY_TIER)
 _ENTRY = "struct<tiers:array<string>,title_points:int,summary_points:int,chunks:array<int>>"
 
 
-def constant(value: object, type_name: str) -> Column:
-    """A list or mapping as one literal.
-
-    The optimizer folds the parsed text into the plan once, where an expression per
-    element would be built and analyzed again with every step on the frame.
-    """
-    return F.from_json(F.lit(json.dumps(value)), type_name)
-
-
 @dataclass
 class TermEntry:
     """What one distinct term stands for: its lists, points and keyword chunks."""

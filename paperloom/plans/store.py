@@ -67,6 +67,7 @@ class PaperStore:
             ("snapshots", schemas.SNAPSHOTS, []),
             ("runs", schemas.RUNS, ["run_id"]),
             ("run_papers", schemas.RUN_PAPERS, ["run_id"]),
+            ("quarantine", schemas.QUARANTINE, ["run_id"]),
         ):
             empty = self.spark.createDataFrame([], schema)
             empty.write.mode("ignore").partitionBy(*keys).parquet(self._path(name))
@@ -81,6 +82,12 @@ class PaperStore:
             F.col("run_id") <= self.last_run_id()
         )
 
+    def quarantine(self) -> DataFrame:
+        """Pages and records that finished runs could not take in."""
+        return self._read("quarantine", schemas.QUARANTINE).filter(
+            F.col("run_id") <= self.last_run_id()
+        )
+
     def last_run_id(self) -> int:
         return self.runs().agg(F.max("run_id")).first()[0] or 0
 
@@ -110,6 +117,9 @@ class PaperStore:
     def record_run_papers(self, rows: DataFrame) -> None:
         self._write(rows, "run_papers", schemas.RUN_PAPERS, ["run_id"])
 
+    def record_quarantine(self, rows: DataFrame) -> None:
+        self._write(rows, "quarantine", schemas.QUARANTINE, ["run_id"])
+
     def record_runs(self, rows: DataFrame) -> None:
         """Finish runs; written after everything else that belongs to them."""
         self._write(rows, "runs", schemas.RUNS, ["run_id"])

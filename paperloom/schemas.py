@@ -103,6 +103,17 @@ RUNS = T.StructType(
         T.StructField("run_id", T.LongType()),
     ]
 )
+QUARANTINE = T.StructType(
+    [
+        T.StructField("source_ordinal", T.IntegerType()),
+        T.StructField("source_name", T.StringType()),
+        T.StructField("page_start", T.LongType()),
+        T.StructField("pos", T.IntegerType()),
+        T.StructField("abs_url", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("run_id", T.LongType()),
+    ]
+)
 RUN_PAPERS = T.StructType(
     [
         T.StructField("paper_id", T.StringType()),

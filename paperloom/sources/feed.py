@@ -145,6 +145,20 @@ def invalid_records(entries: DataFrame) -> DataFrame:
     return entries.filter(F.col("skip_reason").isNotNull())
 
 
+def quarantine(parsed: DataFrame) -> DataFrame:
+    """Everything that was not taken in: unreadable pages and invalid entries."""
+    place = [*PAGE_COLUMNS, "pos", "abs_url", "reason"]
+    pages = corrupt_pages(parsed).withColumns(
+        {
+            "pos": F.lit(None).cast("int"),
+            "abs_url": F.lit(None).cast("string"),
+            "reason": F.lit("unreadable page"),
+        }
+    )
+    entries = invalid_records(page_entries(parsed)).withColumnRenamed("skip_reason", "reason")
+    return pages.select(*place).unionByName(entries.select(*place))
+
+
 def ingest_completeness(
     parsed: DataFrame, page_size: int = defaults.FEED_PAGE_SIZE
 ) -> DataFrame:

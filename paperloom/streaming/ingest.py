@@ -9,7 +9,13 @@ from paperloom.config import FilterConfig
 from paperloom.plans.run import STAGED_COLUMNS, record, triage_feed
 from paperloom.plans.staging import staged
 from paperloom.plans.store import PaperStore
-from paperloom.sources.feed import feed_page_stream, page_entries, parse_pages, valid_papers
+from paperloom.sources.feed import (
+    feed_page_stream,
+    page_entries,
+    parse_pages,
+    quarantine,
+    valid_papers,
+)
 
 
 def ingest_batch(
@@ -21,11 +27,16 @@ def ingest_batch(
 ) -> None:
     """Merge, score and record one batch of pages as run ``run_id``.
 
+    Pages are parsed once; what cannot be taken in goes to the quarantine table.
     Everything is written under the run id, so repeating a batch changes nothing.
     The window is what the batch covers.
     """
     slug = f"batch_{run_id}"
-    candidates = valid_papers(page_entries(parse_pages(pages)))
+    parsed = staged(parse_pages(pages), "pages", store.staging_dir())
+    store.record_quarantine(
+        quarantine(parsed).withColumn("run_id", F.lit(run_id).cast("long"))
+    )
+    candidates = valid_papers(page_entries(parsed))
     scored = triage_feed(candidates, config).withColumns(
         {"window_slug": F.lit(slug), "window_ordinal": F.lit(0).cast("long")}
     )
@@ -48,9 +59,12 @@ def stream_feed(
     store: PaperStore,
     checkpoint: str,
     first_run_id: int = 1,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Take in all pages landed since the last call and stop.
 
+    A backlog is worked off in batches of ``files_per_batch`` files, or in one.
+
     Batch ``n`` of the checkpoint is run ``first_run_id + n``; keep the number with
     the checkpoint.  ``checkpoint`` is a folder on the shared file system.
     """
@@ -58,9 +72,11 @@ def stream_feed(
     def ingest(pages: DataFrame, batch_id: int) -> None:
         ingest_batch(pages, first_run_id + batch_id, config, store)
 
+    reader = feed_page_stream(store.spark)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
-        feed_page_stream(store.spark)
-        .load(path)
+        reader.load(path)
         .writeStream.foreachBatch(ingest)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -27,6 +27,8 @@ def test_two_batches_and_a_replay(spark, small_config, tmp_path):
     land(landing, "bad.xml", "not xml", ordinal=1, source="broken")
     stream_feed(str(landing), small_config, store, checkpoint).awaitTermination()
     assert [(p, r) for p, _, r in snapshot(store)[0]] == [("1", 1), ("2", 1)]
+    refused = store.quarantine().collect()
+    assert [(r.source_name, r.reason, r.run_id) for r in refused] == [("broken", "unreadable page", 1)]
 
     land(
         landing, "2.xml",
@@ -51,6 +53,16 @@ def test_two_batches_and_a_replay(spark, small_config, tmp_path):
     assert snapshot(store) == (papers, run_papers, runs)
 
 
+def test_backlog_in_several_batches(spark, small_config, tmp_path):
+    store = PaperStore(spark, str(tmp_path / "store")).create()
+    for i in range(3):
+        land(tmp_path / "landing", f"{i}.xml", feed_page(feed_entry(str(i), title="a")), start=i * 100)
+    stream_feed(
+        str(tmp_path / "landing"), small_config, store, str(tmp_path / "progress"), 10, 1
+    ).awaitTermination()
+    assert sorted(r.run_id for r in store.papers().collect()) == [10, 11, 12]
+
+
 def test_batch_of_broken_pages_only(spark, small_config, tmp_path):
     store = PaperStore(spark, str(tmp_path / "store")).create()
     land(tmp_path / "landing", "bad.xml", "not xml")
