@@ -1,5 +1,6 @@
 """Parameters as literals in a plan."""
 
+import base64
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,6 +15,11 @@ def constant(value: object, type_name: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), type_name)
 
 
+def as_bytes(text: str) -> str:
+    """How a text is spelled in the JSON of a constant that holds it as binary."""
+    return base64.b64encode(text.encode()).decode()
+
+
 def small_table(spark: SparkSession, rows: list[dict], fields: str) -> DataFrame:
     """A table of parameters whose size the planner knows.
 

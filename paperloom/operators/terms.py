@@ -6,6 +6,7 @@ The hits feed scoring, reasons, the anchor rule and keyword sources alike.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom import defaults
 from paperloom.config import FilterConfig
-from paperloom.functions.literals import constant
+from paperloom.functions.literals import as_bytes, constant
 
 SCORING_TIERS = ("core", "adjacent", "exclude", "anchor")
 QUERY_TIER = "query"
@@ -63,10 +64,40 @@ def term_entries(config: FilterConfig, tiers: Iterable[str] = ALL_TIERS) -> dict
     return entries
 
 
+def guarded(terms: Iterable[str]) -> dict[str, list[str]]:
+    """Terms grouped under a word that all of a group contain.
+
+    A text without the word has none of its terms.  A term that shares no word with
+    another stands under itself.
+    """
+    terms = list(dict.fromkeys(terms))
+    words = {word for term in terms for word in re.findall(r"\w+", term)}
+    shared = {word: sum(word in term for term in terms) for word in words}
+    groups: dict[str, list[str]] = {}
+    for term in terms:
+        inside = [word for word in re.findall(r"\w+", term) if shared[word] > 1]
+        guard = max(inside, key=lambda word: (shared[word], word), default=term)
+        groups.setdefault(guard, []).append(term)
+    return groups
+
+
 def terms_in(text: Column, terms: Iterable[str]) -> Column:
-    """Those of the terms that a text contains, as an array."""
-    listed = constant(list(terms), "array<string>")
-    return F.filter(listed, lambda term: F.contains(text, term))
+    """Those of the terms that a text contains, as an array.
+
+    ``text`` is UTF-8 in binary form: containing the bytes is containing the text, and
+    Spark searches byte arrays faster than strings.
+    """
+    groups = constant(
+        [
+            {"guard": as_bytes(guard), "terms": [as_bytes(term) for term in members]}
+            for guard, members in guarded(terms).items()
+        ],
+        "array<struct<guard:binary,terms:array<binary>>>",
+    )
+    possible = F.filter(groups, lambda group: F.contains(text, group["guard"]))
+    candidates = F.flatten(F.transform(possible, lambda group: group["terms"]))
+    found = F.filter(candidates, lambda term: F.contains(text, term))
+    return found.cast("array<string>")
 
 
 def match_terms(
@@ -85,8 +116,8 @@ def match_terms(
     entries = term_entries(config, tiers)
     texts = F.array(
         F.struct(
-            F.lower(F.coalesce(F.col("title"), F.lit(""))).alias("title"),
-            F.lower(F.coalesce(F.col("summary"), F.lit(""))).alias("summary"),
+            F.lower(F.coalesce(F.col("title"), F.lit(""))).cast("binary").alias("title"),
+            F.lower(F.coalesce(F.col("summary"), F.lit(""))).cast("binary").alias("summary"),
         )
     )
     found = F.transform(

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,7 @@ from paperloom.config import FilterConfig
 from paperloom.operators.candidates import all_candidates, tagged_candidates
 from paperloom.operators.evaluate import config_diff, label_confusion, shortlist
 from paperloom.operators.score import score_papers
-from paperloom.operators.terms import context_gated_terms, term_matches
+from paperloom.operators.terms import context_gated_terms, guarded, term_matches, terms_in
 from tests.conftest import plan_text
 
 # Hand-worked: primary category, title, summary, score, label, reasons.
@@ -68,6 +70,29 @@ def test_empty_term_is_in_every_paper(make_papers):
     assert score_papers(make_papers({"title": "", "summary": ""}), config).first().score == 5
 
 
+def test_guards_are_inside_their_terms():
+    groups = guarded(FilterConfig.shipped().core_terms)
+    assert sorted(t for members in groups.values() for t in members) == sorted(FilterConfig.shipped().core_terms)
+    assert all(guard in term for guard, members in groups.items() for term in members)
+    assert len(groups["code"]) > 5
+    assert guarded(["", "a b", "b c", "-"]) == {"": [""], "b": ["a b", "b c"], "-": ["-"]}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_term_search_against_brute_force(spark, seed):
+    chance = random.Random(seed)
+
+    def phrase(words):
+        return chance.choice(["", " ", "-"]).join(chance.choices(["a", "ab", "b", "é", "aé", "\U0001f600", "c"], k=words))
+
+    words = [phrase(chance.randint(0, 3)) for _ in range(40)]
+    texts = [phrase(chance.randint(0, 8)) for _ in range(300)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = rows.select("text", terms_in(F.col("text").cast("binary"), words).alias("found"))
+    for row in found.collect():
+        assert sorted(row.found) == sorted({w for w in words if w in row.text})
+
+
 def test_sample_paper_under_shipped_config(make_papers):
     paper = make_papers(
         {
@@ -136,7 +161,7 @@ def test_scoring_plan_is_narrow_and_lowers_each_text_once(make_papers, small_con
         optimized = frame._jdf.queryExecution().optimizedPlan().toString()
         assert optimized.count("lower(") == 2
         # Bound to the outer lambda's text, not inlined next to each term.
-        assert "Contains(lower" not in optimized
+        assert "Contains(lower" not in optimized and "Contains(cast" not in optimized
         plan = plan_text(frame)
         assert "Exchange" not in plan
         assert "Cartesian" not in plan and "NestedLoop" not in plan
