@@ -31,7 +31,7 @@ def test_escape(spark, raw, expected):
 @pytest.mark.parametrize(
     "authors, paper_id, expected",
     [
-        (["John Doe"], "2601.12345", "Doe_2601_12345"),
+        (["Emmy Noether"], "2702.00417", "Noether_2702_00417"),
         (["  Vera  O'Brien-Smith  "], "a/b.c", "OBrienSmith_a_b_c"),
         (["Łukasz Żółć_2"], "1", "Żółć_2_1"),
         (["..."], "1.2", "1_2"),

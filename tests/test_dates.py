@@ -11,14 +11,14 @@ D = dt.date
 
 
 def test_window_rules():
-    assert dates.resolve_window("2026-03-18", "2026-03-25") == (D(2026, 3, 18), D(2026, 3, 25))
+    assert dates.resolve_window("2027-02-03", "2027-03-04") == (D(2027, 2, 3), D(2027, 3, 4))
     assert dates.resolve_window(as_of=D(2026, 3, 25)) == (D(2026, 3, 19), D(2026, 3, 25))
     assert dates.resolve_window(end="2026-03-01", days=1) == (D(2026, 3, 1), D(2026, 3, 1))
     assert dates.resolve_window(start="2026-03-01", as_of=D(2026, 3, 1), days=0)[0] == D(2026, 3, 1)
     start, end = dates.resolve_window()
     assert (end - start).days == 6
     with pytest.raises(ValueError):
-        dates.resolve_window("2026-03-25", "2026-03-18")
+        dates.resolve_window("2027-03-04", "2027-02-03")
     with pytest.raises(ValueError):
         dates.resolve_window(end="2026-03-25", days=0)
 

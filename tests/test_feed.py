@@ -14,18 +14,15 @@ from tests.conftest import feed_entry, feed_page
 
 SAMPLE = feed_page(
     """<entry>
-    <id>http://arxiv.org/abs/2601.12345v1</id>
-    <updated>2026-03-20T12:00:00Z</updated>
-    <published>2026-03-20T12:00:00Z</published>
-    <title>Quantum Error
-      Correction Advances</title>
-    <summary>This paper discusses advances.</summary>
-    <author><name>John  Doe</name></author>
-    <author><name>Jane Smith</name></author>
-    <link rel="alternate" type="text/html" href="http://arxiv.org/abs/2601.12345v1" />
-    <link rel="related" title="pdf" type="application/pdf" href="http://arxiv.org/pdf/2601.12345v1" />
-    <arxiv:primary_category term="quant-ph" />
-    <category term="quant-ph" /><category term="cs.IT" />
+    <author><name>Emmy  Noether</name></author><author><name>Kurt Gödel</name></author>
+    <title>Codes on
+      curved lattices</title>
+    <summary>Short &amp; plain.</summary>
+    <id>http://x.example/abs/2702.00417v3</id>
+    <published>2027-02-01T08:30:00Z</published><updated>2027-02-09T00:00:00Z</updated>
+    <category term="math.CO" /><category term="cs.DM" /><arxiv:primary_category term="math.CO" />
+    <link href="http://x.example/abs/2702.00417v3" rel="alternate" type="text/html" />
+    <link href="http://x.example/pdf/2702.00417v3" rel="related" title="pdf" type="application/pdf" />
   </entry>"""
 )
 
@@ -38,13 +35,14 @@ def test_sample_page(make_pages):
     rows = valid_papers(entries(make_pages(SAMPLE))).collect()
     assert len(rows) == 1
     paper = rows[0]
-    assert paper.paper_id == "2601.12345"
-    assert paper.abs_url == "http://arxiv.org/abs/2601.12345v1"
-    assert paper.pdf_url == "https://arxiv.org/pdf/2601.12345v1"
-    assert paper.title == "Quantum Error Correction Advances"
-    assert paper.primary_category == "quant-ph"
-    assert paper.categories == ["quant-ph", "cs.IT"]
-    assert paper.authors == ["John Doe", "Jane Smith"]
+    assert paper.paper_id == "2702.00417"
+    assert paper.abs_url == "http://x.example/abs/2702.00417v3"
+    assert paper.pdf_url == "https://x.example/pdf/2702.00417v3"
+    assert (paper.title, paper.summary) == ("Codes on curved lattices", "Short & plain.")
+    assert (paper.published, paper.updated) == ("2027-02-01T08:30:00Z", "2027-02-09T00:00:00Z")
+    assert paper.primary_category == "math.CO"
+    assert paper.categories == ["math.CO", "cs.DM"]
+    assert paper.authors == ["Emmy Noether", "Kurt Gödel"]
     assert paper.sources == ["source0"]
     assert (paper.source_ordinal, paper.page_start, paper.pos) == (0, 0, 0)
 

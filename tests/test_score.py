@@ -96,8 +96,8 @@ def test_term_search_against_brute_force(spark, seed):
 def test_sample_paper_under_shipped_config(make_papers):
     paper = make_papers(
         {
-            "title": "Quantum Error Correction Advances",
-            "summary": "This paper discusses advances in quantum error correction.",
+            "title": "A Survey of Quantum Error Correction",
+            "summary": "We review quantum error correction.",
             "primary_category": "quant-ph",
         }
     )

@@ -12,8 +12,8 @@ def one(spark, column):
 @pytest.mark.parametrize(
     "url, expected",
     [
-        ("http://x.example/abs/2601.12345v2", "2601.12345"),
-        ("http://x.example/abs/2601.12345v2//", "2601.12345"),
+        ("http://x.example/abs/2702.00417v2", "2702.00417"),
+        ("http://x.example/abs/2702.00417v2//", "2702.00417"),
         ("http://x.example/abs/math/9901001v1", "9901001"),
         ("2601.1", "2601.1"),
         ("http://x.example/abs/v1", ""),
