@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks.queries import QUERIES
 from checks.compare import compare, oracle_connection
 from tests.conftest import SF_DIR, plan_text
 
@@ -11,19 +12,19 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.oracle_sql())
 
 
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, oracle, name):
     assert compare(oracle, name, contract.queries()[name](spark, SF_DIR)) is None
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_pairs_everything(spark, name):
     plan = plan_text(contract.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan
