@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import chat, shards
+from paperloom.llm import bpe, chat, shards, tokenbin
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -50,7 +51,29 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    path = tokenbin.write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return tokenbin.read_token_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = bpe.encode_texts(docs, path, public_tokenizers.PATTERN, ["doc_id"], decode=True)
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op3_chat_formatting": chat_formatting,
     "op4_sharding": sharding,
+    "op5_token_files": token_files,
+    "op6_byte_bpe": byte_bpe,
 }
