@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyarrow import fs
+from pyarrow import compute, fs
 
 #: Unicode white space, as the tokenizers' patterns see it.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -41,7 +41,7 @@ def small_batches(
 ) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``size`` bytes in a string or binary column."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+        lengths = compute.binary_length(batch.column(column)).to_pylist()
         first, held = 0, 0
         for i, n in enumerate(lengths):
             held += n or 0
