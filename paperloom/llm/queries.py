@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import bpe, chat, shards, tokenbin
+from paperloom.llm import bpe, chat, decontaminate, licenses, shards, tokenbin
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -71,9 +71,33 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.find_passages(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"), ["doc_id"])
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scan_licenses(_table(spark, sf_dir, "documents", "doc_id", "text"), ["doc_id"])
+    verbatim = F.filter("matches", lambda m: m["places"] > 0)
+    first = lambda f: F.array_min(F.transform(verbatim, lambda m: m[f]))
+    last = F.array_max(F.transform(verbatim, lambda m: m["last_word"]))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.aggregate("matches", F.lit(0).cast("bigint"), lambda a, m: a + m["places"]).alias("n_base"),
+        first("first_word").alias("first_word"),
+        last.alias("last_word"),
+        licenses.labels_of("matches", lambda m: m["places"] > 0).alias("base_labels"),
+        licenses.labels_of("matches", lambda m: m["cover"] >= licenses.COVER).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["cover"])), F.lit(0.0)).alias("score"),
+    )
+
+
 QUERIES = {
+    "op1_benchmark_decontamination": benchmark_decontamination,
     "op3_chat_formatting": chat_formatting,
     "op4_sharding": sharding,
     "op5_token_files": token_files,
     "op6_byte_bpe": byte_bpe,
+    "op8_license_scan": license_scan,
 }

@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from paperloom.llm.licenses import TEMPLATES
+
 CHAT = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -21,4 +23,45 @@ SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(learned) AS loss_
 FROM merged
 """
 
-ORACLES = {"op3_chat_formatting": CHAT}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TEMPLATES = ", ".join(f"({i}, '{t.label}', {t.phrase}, '{t.text}')" for i, t in enumerate(TEMPLATES))
+
+LICENSES = f"""
+WITH template(template, label, phrase, text) AS (VALUES {_TEMPLATES}),
+template_words AS (SELECT template, label, phrase, {_WORDS} AS w FROM template),
+template_grams AS (
+  SELECT template, label, phrase, len(w) AS length, t_pos, w[t_pos + 1] AS a, w[t_pos + 2] AS b, w[t_pos + 3] AS c
+  FROM template_words, unnest(range(0, len(w) - 2)) AS u(t_pos)),
+texts AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+grams AS (
+  SELECT doc_id, pos, w[pos + 1] AS a, w[pos + 2] AS b, w[pos + 3] AS c
+  FROM texts, unnest(range(0, greatest(len(w) - 2, 0))) AS u(pos)),
+votes AS (
+  SELECT doc_id, template, label, phrase, length, pos - t_pos AS diagonal, count(*) AS votes, min(pos) AS lo, max(pos) AS hi
+  FROM grams JOIN template_grams USING (a, b, c) GROUP BY ALL),
+stepped AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER along <= 2 THEN 0 ELSE 1 END AS apart
+  FROM votes WINDOW along AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+merged AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS cluster FROM stepped),
+clusters AS (
+  SELECT doc_id, template, label, phrase, length, cluster, sum(votes) AS votes, min(lo) AS lo, max(hi) AS hi,
+    count(*) FILTER (phrase AND votes = length - 2) AS places,
+    min(diagonal) FILTER (phrase AND votes = length - 2) AS first_word,
+    max(diagonal) FILTER (phrase AND votes = length - 2) AS last_word
+  FROM merged GROUP BY ALL),
+covered AS (
+  SELECT *, CASE WHEN hi - lo + 3 <= length + 2 OR places > 0
+    THEN least(1.0::DOUBLE, votes::DOUBLE / (length - 2)) ELSE 0.0::DOUBLE END AS cover FROM clusters),
+found AS (
+  SELECT doc_id, sum(places) AS n_base, min(first_word) AS first_word, max(last_word) AS last_word, max(cover) AS score,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (places > 0) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (cover >= 0.8) AS labels
+  FROM covered GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+FROM texts LEFT JOIN found USING (doc_id)
+"""
+
+ORACLES = {"op3_chat_formatting": CHAT, "op8_license_scan": LICENSES}
