@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import bpe, chat, decontaminate, licenses, shards, tokenbin
+from paperloom.llm import bpe, chat, decontaminate, licenses, shards, tokenbin, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -76,6 +76,11 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_passages(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"), ["doc_id"])
 
 
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_warc(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return warc.read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = licenses.scan_licenses(_table(spark, sf_dir, "documents", "doc_id", "text"), ["doc_id"])
     verbatim = F.filter("matches", lambda m: m["places"] > 0)
@@ -99,5 +104,6 @@ QUERIES = {
     "op4_sharding": sharding,
     "op5_token_files": token_files,
     "op6_byte_bpe": byte_bpe,
+    "op7_warc": warc_round_trip,
     "op8_license_scan": license_scan,
 }

@@ -64,4 +64,13 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BI
 FROM texts LEFT JOIN found USING (doc_id)
 """
 
-ORACLES = {"op3_chat_formatting": CHAT, "op8_license_scan": LICENSES}
+WARC = """
+WITH payload AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+first AS (SELECT payload_digest, min(page_id) AS first FROM payload WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > first THEN first END AS refers_to
+FROM payload LEFT JOIN first USING (payload_digest)
+"""
+
+ORACLES = {"op3_chat_formatting": CHAT, "op7_warc": WARC, "op8_license_scan": LICENSES}
