@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import bpe, chat, decontaminate, licenses, shards, tokenbin, warc
+from paperloom.llm import bpe, chat, decontaminate, jaccard, licenses, shards, tokenbin, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -98,6 +98,10 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_classes(_table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_key")
+
+
 QUERIES = {
     "op1_benchmark_decontamination": benchmark_decontamination,
     "op3_chat_formatting": chat_formatting,
@@ -106,4 +110,5 @@ QUERIES = {
     "op6_byte_bpe": byte_bpe,
     "op7_warc": warc_round_trip,
     "op8_license_scan": license_scan,
+    "op10_jaccard_join": jaccard_join,
 }
