@@ -401,7 +401,8 @@ def _compared(rows: DataFrame) -> DataFrame:
 def similar_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (least doc_id of its class), n_links (other rows of at least the similarity), class_rows.
 
-    Classes are the connected components of the links.
+    Classes are the connected components of the links.  ``text_key`` (hash of the text) and ``class_key`` (null without words) tell
+    rows and classes apart where ids are missing or repeated.
     """
     told = stage(describe(docs.select("doc_id", "text"), runs_for(), DEPTHS[0]), "sets")
     with_set = told.where(F.col("set_id").isNotNull())
@@ -438,13 +439,14 @@ def similar_classes(docs: DataFrame) -> DataFrame:
     classes = named.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_rows"))
     of_set = (
         members.select("set_id", "copies", "first")
-        .join(named.select("set_id", "root").join(classes, "root").drop("root"), "set_id", "left")
+        .join(named.select("set_id", "root").join(classes, "root"), "set_id", "left")
         .join(links, "set_id", "left")
         .select(
             F.col("set_id").alias("s"),
             F.coalesce("class_id", "first").alias("class_id"),
             F.coalesce("class_rows", "copies").alias("class_rows"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            F.coalesce("root", "set_id").alias("class_key"),
         )
     )
     out = told.select("doc_id", "text_key", "set_id").join(of_set, F.col("set_id") == F.col("s"), "left")
@@ -454,4 +456,23 @@ def similar_classes(docs: DataFrame) -> DataFrame:
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("class_rows", F.lit(1)).alias("class_rows"),
         "text_key",
+        "class_key",
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows, with all their columns, without all but one of each class: the one with the least doc_id, then text hash.
+
+    Rows without words are all kept.
+    """
+    told = stage(similar_classes(docs).select("doc_id", "text_key", "class_key"), "classes")
+    first = F.min(F.struct("doc_id", "text_key")).alias("k")
+    some = told.where(F.col("class_key").isNotNull())
+    keepers = some.groupBy("class_key").agg(first).select("k.*")
+    blank = told.where(F.col("class_key").isNull()).select("doc_id", "text_key").distinct()
+    wanted = keepers.unionByName(blank).select(F.col("doc_id").alias("_w_doc"), F.col("text_key").alias("_w_text"))
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_w_doc")) & (F.xxhash64(docs["text"]) == F.col("_w_text"))
+    kept = docs.join(wanted, same, "left_semi")
+    twice = some.groupBy("doc_id", "text_key").count().where("count > 1")
+    # Rows that agree in id and text are one text of the class; only then are whole rows compared.
+    return kept if twice.isEmpty() else kept.dropDuplicates(["doc_id", "text"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import bpe, chat, decontaminate, jaccard, licenses, shards, tokenbin, warc
+from paperloom.llm import bpe, chat, decontaminate, jaccard, langid, licenses, quality, shards, tokenbin, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -99,16 +99,29 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_classes(_table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_key")
+    return jaccard.similar_classes(_table(spark, sf_dir, "documents", "doc_id", "text")).drop("text_key", "class_key")
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
+    rows = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return langid.predict(rows, model, ["doc_id", "held_out"])
+
+
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"), ["doc_id"])
 
 
 QUERIES = {
     "op1_benchmark_decontamination": benchmark_decontamination,
+    "op2_language_id": language_id,
     "op3_chat_formatting": chat_formatting,
     "op4_sharding": sharding,
     "op5_token_files": token_files,
     "op6_byte_bpe": byte_bpe,
     "op7_warc": warc_round_trip,
     "op8_license_scan": license_scan,
+    "op9_quality_rules": quality_rules,
     "op10_jaccard_join": jaccard_join,
 }
