@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
 from collections.abc import Iterable, Iterator
@@ -36,6 +37,14 @@ def stretches(text: str, size: int = 1 << 20) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def forget(known: dict, most: int) -> None:
+    """Drop the older half of a memory that has more than ``most`` entries."""
+    if len(known) > most:
+        newer = list(itertools.islice(known.items(), len(known) // 2, None))
+        known.clear()
+        known.update(newer)
+
+
 def small_batches(
     batches: Iterable[pa.RecordBatch], column: str, size: int = 1 << 21, rows: int = 1024
 ) -> Iterator[pa.RecordBatch]:

@@ -16,22 +16,28 @@ the text; repeated rows are repeated documents; an empty table gives no file.
 
 from __future__ import annotations
 
+import itertools
 import json
+import os
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.functions.literals import constant
-from paperloom.llm.arrow import chunks, get_file, put_file, small_batches, stretches
+from paperloom.llm.arrow import chunks, forget, get_file, put_file, small_batches, stretches
 from paperloom.llm.common import new_folder
 from paperloom.llm.shards import _Ranges
 
 MAGIC = b"IDHUF001"
 MAX_BITS = 16
-REMEMBERED = 300_000
+#: Chunks, and pieces of them, that a worker remembers.
+REMEMBERED = 600_000
+# Fixed value: how byte-level tokenizers cut a text before merging.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 # --- the code -----------------------------------------------------------------
@@ -109,52 +115,80 @@ def unpack(data: bytes, offsets: np.ndarray, sizes: np.ndarray, lengths: np.ndar
     order = np.lexsort((np.arange(len(lengths)), lengths))
     order = order[lengths[order] > 0]
     width = 1 << (MAX_BITS - lengths[order].astype(np.int64))
-    symbol = np.zeros(1 << MAX_BITS, np.uint32)
-    symbol[: width.sum()] = np.repeat(order, width)
-    step = np.zeros(1 << MAX_BITS, np.int64)
-    step[: width.sum()] = np.repeat(lengths[order], width)
-    padded = np.frombuffer(data + b"\0" * 8, np.uint8)
+    # Symbol above its length, by the next bits; and the 24 bits from every byte on.
+    entry = np.zeros(1 << MAX_BITS, np.int64)
+    entry[: width.sum()] = np.repeat(order << 5 | lengths[order], width)
+    padded = np.frombuffer(data + b"\0" * 4, np.uint8).astype(np.int32)
+    ahead = padded[:-2] << 16 | padded[1:-1] << 8 | padded[2:]
     out = np.empty(int(sizes.sum()), np.uint32)
     into = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     by_size = np.argsort(-sizes, kind="stable")
     at, into, left = offsets[by_size].astype(np.int64), into[by_size], sizes[by_size]
-    live = len(left)
-    for i in range(int(left[0]) if live else 0):
-        while left[live - 1] <= i:
-            live -= 1
-        here = at[:live]
-        byte = here >> 3
-        window = (
-            padded[byte].astype(np.int64) << 16 | padded[byte + 1].astype(np.int64) << 8 | padded[byte + 2]
-        ) >> (8 - (here & 7)) & 0xFFFF
-        out[into[:live] + i] = symbol[window]
-        here += step[window]
+    # How many blocks still have an id at each step; longer blocks stand first.
+    most = int(left[0]) if len(left) else 0
+    live = np.searchsorted(-left, -np.arange(most), side="left")
+    for i in range(most):
+        here = at[: live[i]]
+        found = entry[ahead[here >> 3] >> (8 - (here & 7)) & 0xFFFF]
+        out[into[: live[i]] + i] = found >> 5
+        here += found & 31
     return out
 
 
 # --- tokens -------------------------------------------------------------------
 
-_KNOWN: dict[tuple[str, int], tuple[object, dict[str, bytes]]] = {}
-
-
-def _tokenize(texts: list[str], name: str, load: Callable[[], object], width: int) -> list[bytes]:
-    """Little-endian unsigned ids of ``width`` bytes.  Chunks met before are not tokenized again."""
-    if (name, width) not in _KNOWN:
-        _KNOWN[name, width] = (load(), {})
-    tokenizer, known = _KNOWN[name, width]
-    kind = {2: "H", 4: "I"}[width]
-    cut = [chunks(t) for t in texts]
-    new = list(set().union(*cut).difference(known))
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = list(set().union(*cut))
-    for i in range(0, len(new), 4096):
-        part = new[i : i + 4096]
-        for chunk, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            ids = e.ids
-            known[chunk] = struct.pack(f"<{len(ids)}{kind}", *ids)
-    of_chunk = known.__getitem__
-    return [b"".join(map(of_chunk, c)) for c in cut]
+
+class Tokens:
+    """A byte-level tokenizer of the tokenizers library that remembers what it has met.
+
+    A chunk not met before is cut into pieces by the tokenizer's own pattern, and the library encodes the pieces that
+    are new.  Beyond the scripts below U+0530, where pattern engines could know different characters, it gets whole chunks.
+    """
+
+    def __init__(self, data: str, width: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_str(data)
+        self.whole.encode_special_tokens = True
+        splits = json.loads(data)["pre_tokenizer"]
+        self.plain = splits["type"] == "ByteLevel" and splits["use_regex"] and not splits["add_prefix_space"]
+        self.pieces = Tokenizer.from_str(data)
+        self.pieces.encode_special_tokens = True
+        self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.pattern = regex.compile(BYTE_LEVEL)
+        self.kind = {2: "H", 4: "I"}[width]
+        self.of_chunk: dict[str, bytes] = {}
+        self.of_piece: dict[str, bytes] = {}
+
+    def _ask(self, tokenizer, texts: list[str]) -> dict[str, bytes]:
+        out = {}
+        for i in range(0, len(texts), 4096):
+            part = texts[i : i + 4096]
+            for text, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                ids = e.ids
+                out[text] = struct.pack(f"<{len(ids)}{self.kind}", *ids)
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian numbers."""
+        forget(self.of_chunk, REMEMBERED)
+        forget(self.of_piece, REMEMBERED)
+        cut = [chunks(t) for t in texts]
+        new = list(set().union(*cut).difference(self.of_chunk))
+        common = [c for c in new if self.plain and (c.isascii() or max(c) < "\u0530")]
+        split = [self.pattern.findall(c) for c in common]
+        fresh = list(set(itertools.chain.from_iterable(split)).difference(self.of_piece))
+        self.of_piece.update(self._ask(self.pieces, fresh))
+        known = self.of_piece.__getitem__
+        self.of_chunk.update(zip(common, (b"".join(map(known, s)) for s in split)))
+        if len(common) < len(new):
+            self.of_chunk.update(self._ask(self.whole, list(set(new).difference(common))))
+        known = self.of_chunk.__getitem__
+        return [b"".join(map(known, c)) for c in cut]
+
+
+_TOKENS: dict[tuple[str, int], Tokens] = {}
 
 
 def tokenize(docs: DataFrame, tokenizer_file: str, keep: list[str], end_id: int | None = 0, width: int = 4) -> DataFrame:
@@ -167,23 +201,16 @@ def tokenize(docs: DataFrame, tokenizer_file: str, keep: list[str], end_id: int
     data = docs.sparkSession.sparkContext.broadcast(get_file(tokenizer_file))
     end = b"" if end_id is None else int(end_id).to_bytes(width, "little")
 
-    def load():
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(data.value.decode())
-        tokenizer.encode_special_tokens = True
-        return tokenizer
-
     def run(batches):
+        if (tokenizer_file, width) not in _TOKENS:
+            _TOKENS[tokenizer_file, width] = Tokens(data.value.decode(), width)
+        encode = _TOKENS[tokenizer_file, width].encode
         for batch in small_batches(batches, "_text"):
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             if any(len(t) > 1 << 20 for t in texts):
-                ids = [b"".join(_tokenize([p], tokenizer_file, load, width)[0] for p in stretches(t)) for t in texts]
+                ids = [b"".join(encode([p])[0] for p in stretches(t)) for t in texts]
             else:
-                ids = _tokenize(texts, tokenizer_file, load, width)
+                ids = encode(texts)
             columns = [batch.column(c) for c in keep] + [pa.array([i + end for i in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "ids"])
 
