@@ -5,7 +5,7 @@ exceed ``roll_bytes`` compressed; headers, record ids and digests are made from
 the same files again.  A file is written under a temporary name, moved to its own, and counts once the manifest names it.
 
 Of payloads that are equal and at least ``SHARED_BYTES`` long, the one with the smallest id is written; the others refer to it.
-The search for them shuffles ids and digests; the payload is not sent twice for records that only refer.
+The search for them shuffles ids and digests; payloads are shuffled once, for the range sort.
 
 Defined results: a null payload counts as empty; a null url becomes ``urn:page:<id>``; a null id comes first, stays null, and is
 never the one that is referred to unless all ids are null; repeated rows refer to the first of them; other columns are ignored; an empty table
@@ -71,19 +71,16 @@ def write_warc(pages: DataFrame, path: str | None = None, roll_bytes: int = 1 <<
     rows = pages.select("page_id", "url", "html", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("bigint").alias("size"))
     narrow = rows.where(F.col("size") >= SHARED_BYTES).select("page_id", "digest")
     firsts = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = narrow.join(firsts, "digest").where("NOT (page_id <=> first)").select(
-        F.col("page_id").alias("r_page"), F.col("digest").alias("r_digest"), "first"
-    ).distinct()
-    joined = rows.join(later, F.col("page_id").eqNullSafe(F.col("r_page")) & (F.col("digest") == F.col("r_digest")), "left")
-    revisit = F.col("r_digest").isNotNull()
-    records = joined.select(
-        "page_id", "digest", "url", "size", "first", revisit.alias("revisit"), F.when(~revisit, F.col("html")).alias("html")
-    )
-    ordered = records.repartitionByRange("page_id", "digest").sortWithinPartitions("page_id", "digest", "url")
+    later = narrow.join(firsts, "digest").where("NOT (page_id <=> first)").select("page_id", "digest", "first").distinct()
+    # What a record refers to travels as a row of its own, sorted right before it, so the payloads are shuffled once.
+    none = F.lit(None)
+    notes = later.select("page_id", "digest", none.cast("string").alias("url"), F.lit(-1).cast("bigint").alias("size"), "first", none.cast("string").alias("html"))
+    records = rows.select("page_id", "digest", "url", "size", none.cast("bigint").alias("first"), "html").unionByName(notes)
+    ordered = records.repartitionByRange("page_id", "digest").sortWithinPartitions("page_id", "digest", F.col("size") >= 0, "url")
 
     def write(batches):
         part = TaskContext.get().partitionId()
-        members, held, seq, done, before, copy = [], 0, 0, [], None, 0
+        members, held, seq, done, before, copy, noted = [], 0, 0, [], None, 0, None
 
         def roll():
             nonlocal members, held, seq
@@ -93,13 +90,18 @@ def write_warc(pages: DataFrame, path: str | None = None, roll_bytes: int = 1 <<
             members, held, seq = [], 0, seq + 1
 
         for batch in small_batches(batches, "html", 1 << 23):
-            for page, digest, url, size, first, is_revisit, html in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            for page, digest, url, size, first, html in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if size < 0:
+                    noted = (page, digest, first)
+                    continue
                 copy = copy + 1 if (page, digest) == before else 0
                 before = (page, digest)
+                is_revisit = noted is not None and noted[:2] == before
+                first = noted[2] if is_revisit else None
                 if copy and not is_revisit and size >= SHARED_BYTES:
                     is_revisit, first = True, page
-                body = None if is_revisit else (html or "").encode()
-                if body is not None and hashlib.sha256(body).hexdigest() != digest:
+                body = (html or "").encode()
+                if hashlib.sha256(body).hexdigest() != digest:
                     raise ValueError(f"payload of page {page} changed on its way")
                 record = make_record(page, url, body, size, digest, first, is_revisit, copy, date)
                 deflate = zlib.compressobj(6, zlib.DEFLATED, 31)
