@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.literals import small_table
 from paperloom.llm.common import held
@@ -86,37 +86,75 @@ def scan_licenses(docs: DataFrame, keep: list[str], templates: tuple[Template, .
     met = placed.join(g, (F.col("h") == F.col("g_h")) & (here == F.col("gram")), "left")
     # One row stays of a text without matches.
     met = met.where(F.col("g_h").isNotNull() | F.col("pos").isNull() | (F.col("pos") == 0))
-    a_template = ["row", "own", "n_words", "template", "label", "phrase", "length"]
-    diagonal = (F.col("pos") - F.col("t_pos")).alias("diagonal")
-    votes = met.groupBy(*a_template, diagonal).agg(
+    # Only matches are left, so they go to their text's task at once; all that follows stays there.
+    own = ["row", "own", "n_words"]
+    placed = met.select(*own, "template", "label", "phrase", "length", (F.col("pos") - F.col("t_pos")).alias("diagonal"), "pos", "g_h")
+    a_diagonal = placed.repartition("row").groupBy(*own, "template", "label", "phrase", "length", "diagonal").agg(
         F.count("g_h").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi")
     )
-    along = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > SLACK, F.lit(True)).cast("int")
-    stepped = votes.withColumn("apart", apart)
-    merged = stepped.withColumn("cluster", F.sum("apart").over(along))
-    grams_of = F.col("length") - GRAM + 1
-    whole = F.col("phrase") & (F.col("votes") == grams_of)
-    clusters = merged.groupBy(*a_template, "cluster").agg(
-        F.sum("votes").alias("votes"),
-        F.min("lo").alias("lo"),
-        F.max("hi").alias("hi"),
-        F.count_if(whole).alias("places"),
-        F.min(F.when(whole, F.col("diagonal"))).alias("first_word"),
-        F.max(F.when(whole, F.col("diagonal"))).alias("last_word"),
-    )
+    vote = F.struct("template", "diagonal", "label", "phrase", "length", "votes", "lo", "hi")
+    of_text = a_diagonal.groupBy(*own).agg(F.collect_list(F.when(F.col("template").isNotNull(), vote)).alias("votes"))
+    sorted_ = held(of_text, votes=F.sort_array("votes"))
+    at = lambda i: F.get("votes", i)
+    apart = lambda i: (i == 0) | (at(i)["template"] != at(i - 1)["template"]) | (at(i)["diagonal"] - at(i - 1)["diagonal"] > SLACK)
+    clusters = held(_starts(sorted_, "votes", "starts", apart), clusters=_per_run("votes", "starts", _cluster))
+    changed = lambda i: (i == 0) | (F.get("clusters", i)["template"] != F.get("clusters", i - 1)["template"])
+    best = held(_starts(clusters, "clusters", "firsts", changed), matches=_per_run("clusters", "firsts", _best))
+    return best.select(*[F.col("own")[f"c{i}"].alias(c) for i, c in enumerate(keep)], "n_words", "matches")
+
+
+def _starts(rows: DataFrame, array: str, name: str, first) -> DataFrame:
+    """Adds the places of an array at which a run begins."""
+    places = F.when(F.size(array) > 0, F.sequence(F.lit(0), F.size(array) - 1)).otherwise(F.array().cast("array<int>"))
+    return held(rows, **{name: F.filter(places, first)})
+
+
+def _per_run(array: str, starts: str, summary) -> Column:
+    """One value for each run of an array, from its slice."""
+    stop = lambda j: F.coalesce(F.get(starts, j + 1), F.size(array))
+    return F.transform(starts, lambda s, j: summary(F.slice(array, s + 1, stop(j) - s)))
+
+
+def _fold(items: Column, value, combine) -> Column:
+    return combine(F.transform(items, value))
+
+
+def _sum(items: Column) -> Column:
+    return F.aggregate(items, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
+def _cluster(votes: Column) -> Column:
+    """Neighbouring diagonals of one template as one match."""
+    head = F.get(votes, F.lit(0))
+    grams = head["length"] - GRAM + 1
+    whole = F.transform(F.filter(votes, lambda v: v["phrase"] & (v["votes"] == grams)), lambda v: v["diagonal"].cast("bigint"))
+    span = _fold(votes, lambda v: v["hi"], F.array_max) - _fold(votes, lambda v: v["lo"], F.array_min) + GRAM
     # Repeats that touch make a long span out of whole matches; others may be stretched by the slack only.
-    fits = (F.col("hi") - F.col("lo") + GRAM <= F.col("length") + SLACK) | (F.col("places") > 0)
-    cover = F.when(fits, F.least(F.lit(1.0), F.col("votes") / grams_of)).otherwise(0.0)
-    best = clusters.groupBy(*a_template).agg(
-        F.sum("places").alias("places"),
-        F.min("first_word").cast("long").alias("first_word"),
-        F.max("last_word").cast("long").alias("last_word"),
-        F.max(cover).alias("cover"),
+    fits = (span <= head["length"] + SLACK) | (F.size(whole) > 0)
+    cover = F.when(fits, F.least(F.lit(1.0), _fold(votes, lambda v: v["votes"], _sum) / grams)).otherwise(0.0)
+    return F.struct(
+        head["template"].alias("template"),
+        head["label"].alias("label"),
+        head["phrase"].alias("phrase"),
+        F.size(whole).cast("bigint").alias("places"),
+        F.array_min(whole).alias("first_word"),
+        F.array_max(whole).alias("last_word"),
+        cover.alias("cover"),
+    )
+
+
+def _best(clusters: Column) -> Column:
+    """The matches of one template as one."""
+    head = F.get(clusters, F.lit(0))
+    return F.struct(
+        head["template"].alias("template"),
+        head["label"].alias("label"),
+        head["phrase"].alias("phrase"),
+        _fold(clusters, lambda c: c["places"], _sum).alias("places"),
+        _fold(clusters, lambda c: c["first_word"], F.array_min).alias("first_word"),
+        _fold(clusters, lambda c: c["last_word"], F.array_max).alias("last_word"),
+        _fold(clusters, lambda c: c["cover"], F.array_max).alias("cover"),
     )
-    match = F.struct("template", "label", "phrase", "places", "first_word", "last_word", "cover")
-    out = best.groupBy("row", "own", "n_words").agg(F.collect_list(F.when(F.col("template").isNotNull(), match)).alias("matches"))
-    return out.select(*[F.col("own")[f"c{i}"].alias(c) for i, c in enumerate(keep)], "n_words", F.sort_array("matches").alias("matches"))
 
 
 def labels_of(matches: Column | str, chosen) -> Column:
