@@ -29,6 +29,14 @@ def in_list(names) -> str:
     return "(" + ", ".join(quoted(n) for n in names) + ")"
 
 
+# Stated here, not taken from the library: which categories stand in for anchors, and the keywords.
+ANCHORS = {CONFIG: ["src0", "src1", "src2", "src3"], OTHER_CONFIG: [f"src{i}" for i in range(8)]}
+KEYWORDS = {
+    CONFIG: ["of the", "in the", "heit", "ción", "edst", "on the", "with the", "ouer", "tiea"],
+    OTHER_CONFIG: ["on the", "heit", "ouer", "of the", "in the", "heit"],
+}
+
+
 def score_ctes(config: FilterConfig, papers: str = "papers", tag: str = "") -> str:
     """CTEs ``hits``, ``gate`` and ``scored`` (with ``tag`` appended) for one config."""
     tiers = (
@@ -56,7 +64,7 @@ points{tag} AS (
 ),
 gate{tag} AS (
   SELECT p.paper_id,
-    p.primary_category IN {in_list(config.anchors)} OR coalesce(h.anchor_hit, false) AS has_anchor,
+    p.primary_category IN {in_list(ANCHORS[config])} OR coalesce(h.anchor_hit, false) AS has_anchor,
     CAST(coalesce(h.pts, 0)
       + CASE WHEN p.primary_category IN {in_list(config.categories)} THEN 1 ELSE 0 END AS INT) AS raw_score
   FROM {papers} p LEFT JOIN points{tag} h ON p.paper_id = h.paper_id
@@ -83,37 +91,33 @@ reasons AS (
   ) GROUP BY paper_id
 )"""
 
-_KEYWORDS = [
-    (i // 6 + 1, i, term) for i, term in enumerate(CONFIG.keywords)
-]
-
-
-def candidate_ctes(window: str) -> str:
+def candidate_ctes(window: str, config: FilterConfig = CONFIG, papers: str = "papers", tag: str = "") -> str:
+    words = [(i // 6 + 1, i, term) for i, term in enumerate(KEYWORDS[config])]
     return f"""
-{values("cats", "ordinal, category", list(enumerate(CONFIG.categories)))},
-{values("words", "chunk, ordinal, term", _KEYWORDS)},
-inside AS (SELECT * FROM papers WHERE {window}),
-by_category AS (
+{values(f"cats{tag}", "ordinal, category", list(enumerate(config.categories)))},
+{values(f"words{tag}", "chunk, ordinal, term", words)},
+inside{tag} AS (SELECT * FROM {papers} WHERE {window}),
+by_category{tag} AS (
   SELECT p.paper_id, p.published, c.ordinal AS source_ordinal, 'category:' || c.category AS source_name
-  FROM inside p JOIN cats c ON list_contains(p.categories, c.category)
+  FROM inside{tag} p JOIN cats{tag} c ON list_contains(p.categories, c.category)
 ),
-by_keyword AS (
-  SELECT DISTINCT p.paper_id, p.published, {len(CONFIG.categories)} - 1 + w.chunk AS source_ordinal,
+by_keyword{tag} AS (
+  SELECT DISTINCT p.paper_id, p.published, {len(config.categories)} - 1 + w.chunk AS source_ordinal,
     'keyword_chunk_' || w.chunk AS source_name
-  FROM inside p JOIN words w
+  FROM inside{tag} p JOIN words{tag} w
     ON contains(lower(p.title), lower(w.term)) OR contains(lower(p.summary), lower(w.term))
 ),
-every AS (SELECT * FROM by_category UNION ALL SELECT * FROM by_keyword),
-tagged AS (
+every{tag} AS (SELECT * FROM by_category{tag} UNION ALL SELECT * FROM by_keyword{tag}),
+tagged{tag} AS (
   SELECT paper_id, min(source_ordinal) AS source_ordinal,
     string_agg(DISTINCT source_name, '|' ORDER BY source_name) AS sources
-  FROM every GROUP BY paper_id
+  FROM every{tag} GROUP BY paper_id
 )"""
 
 
 IN_WINDOW = "published >= '2024-01-01' AND published < '2024-04-01'"
 SCORES = score_ctes(CONFIG)
-TRIAGED = f"""{SCORES}, {candidate_ctes(IN_WINDOW)},
+TRIAGED = f"""{SCORES}, {candidate_ctes("true")},
 triaged AS (SELECT s.*, t.sources FROM scored s JOIN tagged t ON s.paper_id = t.paper_id)"""
 YEAR = f"""{SCORES}, {candidate_ctes("true")},
 year AS (
@@ -198,15 +202,22 @@ FROM feed_rows""",
         FEED_CTE,
     ),
     "ingest_completeness": with_papers(
-        """SELECT source_name, source_ordinal,
-  CAST(coalesce(max(n) FILTER (NOT corrupt), 0) AS BIGINT) AS declared_total,
-  CAST(coalesce(sum(n) FILTER (NOT corrupt), 0) AS BIGINT) AS landed_entries,
-  count(*) AS landed_pages, count(*) FILTER (corrupt) AS corrupt_pages,
-  CAST(ceil(coalesce(max(n) FILTER (NOT corrupt), 0) / 10.0) AS BIGINT) AS expected_pages,
-  count(*) FILTER (NOT corrupt) < ceil(coalesce(max(n) FILTER (NOT corrupt), 0) / 10.0) AS has_gap,
-  coalesce(sum(n) FILTER (NOT corrupt), 0) >= coalesce(max(n) FILTER (NOT corrupt), 0) AS complete
-FROM feed_pages GROUP BY source_name, source_ordinal""",
-        FEED_CTE,
+        """SELECT 'range:' || source AS source_name, source AS source_ordinal, total AS declared_total, landed_entries,
+  landed_pages, corrupt_pages, expected AS expected_pages, missing > 0 AS has_gap, missing = 0 AS complete
+FROM (
+  SELECT source, any_value(total) AS total, any_value((total + 49) // 50) AS expected,
+    CAST(coalesce(sum(n) FILTER (here), 0) AS BIGINT) AS landed_entries, count(*) FILTER (here) AS landed_pages,
+    count(*) FILTER (start < total AND NOT here) AS missing,
+    CAST(sum(CASE WHEN cut THEN copies ELSE 0 END) AS BIGINT) AS corrupt_pages
+  FROM (
+    SELECT *, copies > 0 AND NOT cut AND start < total AS here FROM (
+      SELECT *, CASE WHEN b % 7 = 3 THEN 0 WHEN b % 5 = 1 THEN 2 ELSE 1 END AS copies, b % 11 = 5 AS cut FROM (
+        SELECT p.source, p.start, p.n, t.total, p.source * 9 + p.start // 50 AS b
+        FROM (SELECT CAST(doc_id // 400 AS INT) AS source, doc_id % 400 // 50 * 50 AS start, count(*) AS n
+              FROM documents GROUP BY ALL
+              UNION ALL SELECT DISTINCT CAST(doc_id // 400 AS INT), 400, 0 FROM documents WHERE doc_id // 400 % 2 = 0) p
+        JOIN (SELECT doc_id // 400 AS source, count(*) AS total FROM documents GROUP BY 1) t ON p.source = t.source)))
+  GROUP BY source HAVING sum(copies) > 0)"""
     ),
     "quarantined_pages": with_papers(
         "SELECT source_ordinal, source_name, page_start FROM feed_pages WHERE corrupt", FEED_CTE
@@ -225,14 +236,15 @@ WHERE NOT ((page_start // 200) % 3 = 1 OR (page_start // 200) % 4 = 2)
     "config_terms": with_papers(
         """SELECT tier, CAST(ordinal AS INT) AS ordinal, term, (
   SELECT count(*) FROM papers p
-  WHERE contains(lower(p.title), lower(d.term)) OR contains(lower(p.summary), lower(d.term))
+  WHERE CASE WHEN d.tier LIKE '%categories' THEN list_contains(p.categories, d.term)
+    ELSE contains(lower(p.title), lower(d.term)) OR contains(lower(p.summary), lower(d.term)) END
 ) AS papers FROM dimension d""",
         values(
             "dimension",
             "tier, ordinal, term",
             [
                 (tier, i, term)
-                for tier in ("query_terms", "anchor_terms", "core_terms", "adjacent_terms", "exclude_terms")
+                for tier in ("categories", "anchor_categories", "query_terms", "anchor_terms", "core_terms", "adjacent_terms", "exclude_terms")
                 for i, term in enumerate(getattr(CONFIG, tier))
             ],
         ),
@@ -304,12 +316,33 @@ WHERE CAST(replace(published, 'Z', '') AS TIMESTAMP) BETWEEN TIMESTAMP '2024-01-
     ),
     "category_candidates": with_papers("SELECT * FROM by_category", candidate_ctes(IN_WINDOW)),
     "keyword_candidates": with_papers("SELECT * FROM by_keyword", candidate_ctes(IN_WINDOW)),
+    "keyword_fallback": with_papers("SELECT * FROM by_keyword", candidate_ctes("true", OTHER_CONFIG)),
     "all_candidates": with_papers("SELECT * FROM every", candidate_ctes(IN_WINDOW)),
     "tagged_candidates": with_papers("SELECT * FROM tagged", candidate_ctes(IN_WINDOW)),
     "merge_papers": with_papers(
-        """SELECT p.paper_id, p.title, p.published, p.abs_url || '.' || t.source_ordinal AS abs_url, t.sources
-FROM papers p JOIN tagged t ON p.paper_id = t.paper_id ORDER BY p.published DESC, p.paper_id DESC""",
-        candidate_ctes(IN_WINDOW),
+        """SELECT p.paper_id, p.title, p.published, p.abs_url || '.' || t.source_ordinal AS abs_url, t.sources,
+  row_number() OVER (ORDER BY p.published DESC, p.paper_id DESC) AS position
+FROM papers p JOIN tagged t ON p.paper_id = t.paper_id""",
+        candidate_ctes("true"),
+    ),
+    "merge_table_copies": with_papers(
+        """SELECT split_part(s.paper_id, '#', 1) AS paper_id, s.title, array_to_string(s.categories, '|') AS categories,
+  s.score, s.label, u.sources
+FROM (
+  SELECT s.*, row_number() OVER (PARTITION BY split_part(s.paper_id, '#', 1)
+    ORDER BY t.source_ordinal, s.title, s.categories) AS rn
+  FROM scored s JOIN tagged t ON s.paper_id = t.paper_id) s
+JOIN (
+  SELECT split_part(paper_id, '#', 1) AS id, string_agg(DISTINCT source_name, '|' ORDER BY source_name) AS sources
+  FROM every GROUP BY 1) u ON u.id = split_part(s.paper_id, '#', 1)
+WHERE s.rn = 1""",
+        """copies AS (
+  SELECT * REPLACE (paper_id || '#0' AS paper_id) FROM papers
+  UNION ALL SELECT * REPLACE (paper_id || '#1' AS paper_id, 'Zz ' || title AS title) FROM papers WHERE CAST(paper_id AS BIGINT) % 2 = 0
+  UNION ALL SELECT * REPLACE (paper_id || '#2' AS paper_id, 'A in the ' || title AS title) FROM papers WHERE CAST(paper_id AS BIGINT) % 3 = 0
+  UNION ALL SELECT * REPLACE (paper_id || '#3' AS paper_id, ['src0', primary_category] AS categories) FROM papers WHERE CAST(paper_id AS BIGINT) % 5 = 0)""",
+        score_ctes(CONFIG, "copies"),
+        candidate_ctes("true", papers="copies"),
     ),
     "score_papers": with_papers("SELECT paper_id, score, label FROM scored", SCORES),
     "score_reasons": with_papers(
@@ -398,9 +431,9 @@ WHERE primary_category IN ('src0', 'src1', 'src2', 'src3', 'src4', 'src5', 'src6
     "export_rows": with_papers(
         """SELECT paper_id AS arxiv_id, title, summary, published, updated, primary_category,
   array_to_string(categories, '|') AS categories, array_to_string(authors, '|') AS authors, abs_url,
-  coalesce(pdf_url, '') AS pdf_url, label, sources AS source_queries
-FROM triaged
-ORDER BY CASE label WHEN 'core' THEN 0 WHEN 'adjacent' THEN 1 ELSE 2 END, published DESC, paper_id DESC""",
+  coalesce(pdf_url, '') AS pdf_url, label, sources AS source_queries,
+  row_number() OVER (ORDER BY CASE label WHEN 'core' THEN 0 WHEN 'adjacent' THEN 1 ELSE 2 END, published DESC, paper_id DESC) AS position
+FROM triaged""",
         TRIAGED,
     ),
     "export_csv_rows": with_papers(
@@ -418,6 +451,24 @@ FROM triaged""",
 FROM triaged""",
         TRIAGED,
     ),
+    "csv_files": with_papers(
+        f"""SELECT label, paper_id AS arxiv_id, coalesce(pdf_url, '') AS pdf_url, title, summary, published, updated,
+  primary_category, array_to_string(categories, '; ') AS categories, array_to_string(authors, '; ') AS authors,
+  replace(sources, '|', '; ') AS source_queries, abs_url, window_slug
+FROM (SELECT *, {week_sql("d")} FROM year)""",
+        YEAR,
+    ),
+    "jsonl_files": with_papers(
+        f"""SELECT window_slug, paper_id AS arxiv_id, title, summary, sources AS source_queries, label
+FROM (SELECT *, {week_sql("d")} FROM year)""",
+        YEAR,
+    ),
+    "undated_records": with_papers(
+        "SELECT abs_url, 'no full date' AS reason FROM papers WHERE CAST(paper_id AS BIGINT) % 14 < 10"
+    ),
+    "bibliography": with_papers(
+        "SELECT paper_id, published, row_number() OVER (ORDER BY published DESC, paper_id DESC) AS position FROM papers"
+    ),
     "digest_lines": with_papers(
         f"""
 SELECT window_slug, CASE label WHEN 'core' THEN 1 ELSE 3 END AS section, 0 AS seq,
@@ -500,6 +551,29 @@ JOIN stored s ON r.paper_id = s.paper_id""",
 WHERE r.paper_id NOT IN (SELECT paper_id FROM stored)""",
         THREE_RUNS,
     ),
+    "store_roundtrip": with_papers(
+        """SELECT 'paper' AS kind, run_id, paper_id, title, NULL::VARCHAR AS detail FROM latest
+UNION ALL SELECT 'seen', s.run_id, s.paper_id, l.title, s.label FROM seen s JOIN latest l ON s.paper_id = l.paper_id
+UNION ALL SELECT 'run', run_id, NULL, NULL, count(*) || '/' || count(*) FILTER (label = 'core') || '/'
+    || count(*) FILTER (label = 'adjacent') || '/' || ['2024-01-01', '2024-02-01', '2024-03-01'][run_id]
+  FROM seen GROUP BY run_id""",
+        score_ctes(CONFIG),
+        candidate_ctes("true"),
+        """p2 AS (SELECT * REPLACE (title || ' (v2)' AS title) FROM papers WHERE published >= '2024-02-01'),
+p3 AS (SELECT * REPLACE (title || ' (v3)' AS title) FROM papers WHERE published >= '2024-03-01' AND published < '2024-04-01')""",
+        score_ctes(OTHER_CONFIG, "p2", "2"),
+        candidate_ctes("true", OTHER_CONFIG, "p2", "2"),
+        score_ctes(OTHER_CONFIG, "p3", "3"),
+        candidate_ctes("true", OTHER_CONFIG, "p3", "3"),
+        """seen AS (
+  SELECT 1::BIGINT AS run_id, s.paper_id, s.title, s.score, s.label FROM scored s JOIN tagged t ON s.paper_id = t.paper_id
+  UNION ALL SELECT 2, s.paper_id, s.title, s.score, s.label FROM scored2 s JOIN tagged2 t ON s.paper_id = t.paper_id
+  UNION ALL SELECT 3, s.paper_id, s.title, s.score, s.label FROM scored3 s JOIN tagged3 t ON s.paper_id = t.paper_id),
+latest AS (
+  SELECT paper_id, run_id, title FROM (
+    SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY run_id DESC) AS rn FROM seen WHERE score >= 3)
+  WHERE rn = 1)""",
+    ),
     "shortlist": with_papers(
         """SELECT s.paper_id, s.title, s.label, s.score, r.why
 FROM scored s JOIN reasons r ON s.paper_id = r.paper_id WHERE s.label IN ('core', 'adjacent')""",

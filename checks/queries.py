@@ -6,16 +6,21 @@ Results hold no arrays: lists come out joined with ``|``.  Counts are BIGINT.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks.fixture import CONFIG, CONTEXT_GATES, OTHER_CONFIG, WINDOW, papers
-from paperloom.config import term_chunks
+from paperloom import schemas
+from paperloom.config import read_term_table, term_chunks
 from paperloom.functions import bibtex, dates, text
 from paperloom.operators import candidates, evaluate, merge, score, terms, windows
 from paperloom.operators.select import SCAN_COLUMNS, select_papers
 from paperloom.plans import exports, store
-from paperloom.plans.run import run_rows, triage_documents
+from paperloom.plans.run import run_rows, run_window, triage_documents, undated
+from paperloom.plans.staging import shared_dir, write_text
 from paperloom.sources import feed
 from paperloom.sources.documents import read_documents
 from paperloom.sources.ids import id_list
@@ -32,12 +37,39 @@ def long_count(name: str) -> Column:
     return F.count("*").alias(name)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share."""
+    return f"{shared_dir(spark, tempfile.gettempdir())}/checks-{uuid.uuid4().hex}"
+
+
+def staged(rows: DataFrame) -> DataFrame:
+    path = scratch(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def with_position(ordered: DataFrame) -> DataFrame:
+    """Place of every row, from 1, in files written in order and read in name order."""
+    spark, path = ordered.sparkSession, scratch(ordered.sparkSession)
+    ordered.write.parquet(path)
+    rows = spark.read.schema(ordered.schema).parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    # One row per file.
+    sizes = sorted((r[0], r[1]) for r in rows.groupBy("file").count().collect())
+    before, at = {}, 1
+    for name, n in sizes:
+        before[name], at = at, at + n
+    first = F.element_at(F.from_json(F.lit(json.dumps(before)), "map<string,bigint>"), F.col("file"))
+    return rows.select(*ordered.columns, (first + F.col("row")).alias("position"))
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score.score_papers(papers(spark, sf_dir), CONFIG)
 
 
 def triaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return triage_documents(papers(spark, sf_dir), CONFIG, *WINDOW, unique=True)
+    return triage_documents(papers(spark, sf_dir), CONFIG, unique=True)
 
 
 # Scans and sources
@@ -138,8 +170,33 @@ def feed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = feed.parse_pages(damaged_pages(spark, sf_dir))
-    return feed.ingest_completeness(parsed, page_size=10)
+    """Sources of 400 ids in pages of 50; by rule pages are missing, cut short, landed twice, or behind the end."""
+    number = F.col("doc_id")
+    docs = read_documents(spark, f"{sf_dir}/documents.parquet", "doc_id")
+    source = F.floor(number / 400).cast("int").alias("source_ordinal")
+    blocks = docs.groupBy(source, (F.floor(number % 400 / 50) * 50).cast("long").alias("page_start")).agg(
+        F.array_sort(F.collect_list("doc_id")).alias("ids")
+    )
+    totals = docs.groupBy(source).agg(long_count("total"))
+    pages = blocks.unionByName(
+        totals.filter("source_ordinal % 2 = 0").select(
+            "source_ordinal", F.lit(400).cast("long").alias("page_start"), F.array().cast("array<bigint>").alias("ids")
+        )
+    ).join(totals, "source_ordinal")
+    block = F.col("source_ordinal") * 9 + F.col("page_start") / 50
+    copies = F.when(block % 7 == 3, 0).when(block % 5 == 1, 2).otherwise(1)
+    landed = pages.withColumn("copy", F.explode(F.sequence(F.lit(0), copies))).filter("copy > 0")
+    entry = lambda i: F.concat(F.lit("<entry><id>"), i.cast("string"), F.lit("</id></entry>"))
+    value = F.concat(
+        F.lit("<feed><totalResults>"), F.col("total").cast("string"), F.lit("</totalResults>"),
+        F.array_join(F.transform("ids", entry), ""), F.lit("</feed>"),
+    )
+    value = F.when(block % 11 == 5, F.left(value, F.length(value) - 3)).otherwise(value)
+    named = landed.select(
+        "source_ordinal", F.concat(F.lit("range:"), F.col("source_ordinal").cast("string")).alias("source_name"),
+        "page_start", value.alias("value"),
+    )
+    return feed.ingest_completeness(feed.parse_pages(named), page_size=50)
 
 
 def quarantined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,15 +212,20 @@ def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The term dimension with the number of papers each term is in."""
+    """All seven lists, read from a file, with the number of papers each term or category is in."""
+    path = f"{scratch(spark)}/filters.json"
+    write_text(spark, path, json.dumps({n: list(getattr(CONFIG, n)) for n in schemas.FILTER_FILE.fieldNames()}))
     found = (
         terms.match_terms(papers(spark, sf_dir), CONFIG)
         .select(F.explode("term_hits.term").alias("lowered"))
         .groupBy("lowered")
         .agg(long_count("n"))
     )
-    dimension = CONFIG.term_table(spark).filter(F.col("tier").endswith("terms"))
-    return dimension.join(found, F.lower("term") == F.col("lowered"), "left").select(
+    filed = papers(spark, sf_dir).select(F.explode("categories").alias("lowered")).groupBy("lowered").agg(long_count("n"))
+    kinds = found.select(F.lit(True).alias("terms"), "*").unionByName(filed.select(F.lit(False).alias("terms"), "*"))
+    dimension = read_term_table(spark, path).withColumn("is_term", F.col("tier").endswith("terms"))
+    same = (F.lower("term") == F.col("lowered")) & (F.col("is_term") == F.col("terms"))
+    return dimension.join(kinds, same, "left").select(
         "tier", "ordinal", "term", F.coalesce("n", F.lit(0)).alias("papers")
     )
 
@@ -359,6 +421,12 @@ def keyword_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*CANDIDATE_COLUMNS)
 
 
+def keyword_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword candidates of a config without query terms: core, then adjacent terms stand in."""
+    rows = candidates.keyword_candidates(papers(spark, sf_dir), OTHER_CONFIG)
+    return rows.select(*CANDIDATE_COLUMNS)
+
+
 def all_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = candidates.all_candidates(papers(spark, sf_dir), CONFIG, *WINDOW)
     return rows.select(*CANDIDATE_COLUMNS)
@@ -371,7 +439,7 @@ def tagged_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates of all sources merged; each source reports its own URL version."""
-    rows = candidates.all_candidates(papers(spark, sf_dir), CONFIG, *WINDOW)
+    rows = candidates.all_candidates(papers(spark, sf_dir), CONFIG)
     versions = rows.select(
         "paper_id",
         "title",
@@ -383,7 +451,18 @@ def merge_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("pos"),
     )
     merged = merge.merge_papers(versions)
-    return merge.in_merged_order(merged.withColumn("sources", bar("sources")))
+    return with_position(merge.in_merged_order(merged.withColumn("sources", bar("sources"))))
+
+
+def merge_table_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All papers and altered copies of some: the earliest source wins, then the copy that sorts first."""
+    rows, number = papers(spark, sf_dir), F.col("paper_id").cast("long")
+    later = rows.filter(number % 2 == 0).withColumn("title", F.concat(F.lit("Zz "), "title"))
+    sooner = rows.filter(number % 3 == 0).withColumn("title", F.concat(F.lit("A in the "), "title"))
+    moved = rows.filter(number % 5 == 0).withColumn("categories", F.array(F.lit("src0"), F.col("primary_category")))
+    every = rows.unionByName(later).unionByName(sooner).unionByName(moved)
+    merged = triage_documents(every, CONFIG, unique=False)
+    return merged.select("paper_id", "title", bar("categories"), "score", "label", bar("sources"))
 
 
 # Scoring
@@ -517,7 +596,38 @@ def filter_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exports.in_export_order(exports.export_rows(triaged(spark, sf_dir)))
     lists = {c: bar(c) for c in ("categories", "authors", "source_queries")}
-    return rows.withColumns(lists)
+    return with_position(rows.withColumns(lists))
+
+
+def exported_weeks(spark: SparkSession, sf_dir: str) -> str:
+    """Exports of every week of the year, written twice and in two calls; returns the folder."""
+    rows = staged(windows.in_month_weeks(triaged(spark, sf_dir)))
+    folder = scratch(spark)
+    for months in (YEAR_MONTHS[:6], YEAR_MONTHS[6:], YEAR_MONTHS[:6]):
+        weeks = windows.month_windows(spark, months)
+        inside = rows.filter(F.left("published", F.lit(7)).isin(months))
+        exports.write_exports(inside, weeks, folder)
+    return folder
+
+
+def csv_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV exports of all weeks, read back."""
+    cells = spark.read.csv(f"{exported_weeks(spark, sf_dir)}/csv", header=True, escape='"')
+    return cells.na.fill("")
+
+
+def jsonl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the JSON Lines exports of all weeks, read back."""
+    lines = spark.read.text(f"{exported_weeks(spark, sf_dir)}/jsonl")
+    return lines.select("window_slug", F.get_json_object("value", "$.arxiv_id").alias("arxiv_id"), F.from_json("value", "title string, summary string, source_queries array<string>, label string").alias("v")).select(
+        "window_slug", "arxiv_id", "v.title", "v.summary", F.array_join("v.source_queries", "|").alias("source_queries"), "v.label"
+    )
+
+
+def undated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers whose published text is cut by rule: those without a full date go to the quarantine."""
+    cut = F.left("published", (F.col("paper_id").cast("long") % 14).cast("int"))
+    return undated(papers(spark, sf_dir).withColumn("published", cut)).select("abs_url", "reason")
 
 
 def export_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -531,7 +641,11 @@ def export_jsonl_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def digest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every week of the year; weeks without papers have one too."""
-    rows = windows.in_month_weeks(triage_documents(papers(spark, sf_dir), CONFIG, unique=True))
+    rows = staged(
+        windows.in_month_weeks(triaged(spark, sf_dir)).select(
+            "window_slug", "label", "title", "abs_url", "paper_id", "published"
+        )
+    )
     weeks = windows.month_windows(spark, YEAR_MONTHS)
     return exports.in_digest_order(exports.digest_lines(rows, weeks))
 
@@ -552,6 +666,12 @@ def bibtex_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.bibtex_entries(rows).select("paper_id", "entry")
 
 
+def bibliography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all papers in the bibliography."""
+    entries = exports.in_bibliography_order(exports.bibtex_entries(papers(spark, sf_dir)))
+    return with_position(entries.select("paper_id", "published"))
+
+
 # Store
 
 
@@ -578,7 +698,7 @@ RUN_WINDOWS = {1: (None, None), 2: (dt.date(2024, 2, 1), None), 3: (dt.date(2024
 
 
 def three_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rows of the three runs from one scan: both configs score every paper."""
+    """All rows of the three runs, narrow, from one scan: both configs score every paper."""
     both = terms.match_terms(papers(spark, sf_dir), CONFIG, terms.SCORING_TIERS, "old_hits")
     both = terms.match_terms(both, OTHER_CONFIG, terms.SCORING_TIERS, "new_hits")
     both = score.with_scores(both, CONFIG, "old_hits").withColumnRenamed("score", "old_score")
@@ -598,7 +718,7 @@ def three_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(candidates.in_window(F.col("published"), *RUN_WINDOWS[run_id]), row)
 
     rows = F.array_compact(F.array(*map(seen, RUN_WINDOWS)))
-    return both.select("paper_id", "published", "primary_category", F.inline(rows))
+    return staged(both.select("paper_id", "published", "primary_category", F.inline(rows)))
 
 
 STORED = ["paper_id", "title", "published", "primary_category", "latest_seen_at", "run_id"]
@@ -634,6 +754,30 @@ def run_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.run_orphans(seen, stored_papers(runs))
 
 
+def store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over all papers through a store, compacted after the first: papers, history and run log, read back."""
+    kept = store.PaperStore(spark, scratch(spark)).create()
+    rows = papers(spark, sf_dir)
+    for run_id, (start, end) in RUN_WINDOWS.items():
+        suffix = "" if run_id == 1 else f" (v{run_id})"
+        run_window(
+            rows.withColumn("title", F.concat("title", F.lit(suffix))),
+            CONFIG if run_id == 1 else OTHER_CONFIG,
+            kept,
+            start or dt.date(2024, 1, 1),
+            end or dt.date(2024, 12, 31),
+            collected_at=f"t{run_id}",
+        )
+        if run_id == 1:
+            kept.compact()
+    none = F.lit(None).cast("string")
+    stored = kept.papers().select(F.lit("paper").alias("kind"), "run_id", "paper_id", "title", none.alias("detail"))
+    seen = kept.history().select(F.lit("seen").alias("kind"), "run_id", "paper_id", "title", F.col("label").alias("detail"))
+    counts = F.concat_ws("/", "total_candidates", "core_count", "adjacent_count", "window_start")
+    log = kept.runs().select(F.lit("run").alias("kind"), "run_id", none.alias("paper_id"), none.alias("title"), counts.alias("detail"))
+    return stored.unionByName(seen).unionByName(log)
+
+
 # Reports
 
 
@@ -675,9 +819,11 @@ QUERIES = {
         window_filter,
         category_candidates,
         keyword_candidates,
+        keyword_fallback,
         all_candidates,
         tagged_candidates,
         merge_papers,
+        merge_table_copies,
         score_papers,
         score_reasons,
         anchor_gate,
@@ -700,14 +846,19 @@ QUERIES = {
         export_rows,
         export_csv_rows,
         export_jsonl_rows,
+        csv_files,
+        jsonl_files,
+        undated_records,
         digest_lines,
         bibtex_entries,
+        bibliography,
         run_log,
         run_papers,
         upsert_papers,
         upsert_onto_base,
         run_history,
         run_orphans,
+        store_roundtrip,
         shortlist,
         label_confusion,
         config_diff,

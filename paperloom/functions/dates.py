@@ -57,7 +57,9 @@ def range_slug(start: dt.date, end: dt.date) -> str:
 
 
 def published_date(published: Column) -> Column:
-    return F.left(published, F.lit(10)).try_cast("date")
+    """The day of an ISO text; null unless year, month and day are all there."""
+    full = published.rlike(r"^\d{4}-\d{2}-\d{2}")
+    return F.when(full, F.left(published, F.lit(10)).try_cast("date"))
 
 
 def year_part(published: Column) -> Column:

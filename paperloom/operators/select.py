@@ -12,6 +12,7 @@ from paperloom.functions.literals import small_table
 from paperloom.functions.text import contains_ignoring_case
 from paperloom.operators.candidates import in_window
 
+# The columns of a stored-paper scan.
 SCAN_COLUMNS = [
     "paper_id",
     "title",
@@ -45,7 +46,7 @@ def select_papers(
     """Papers that meet every filter supplied; with none, all of them.
 
     An empty string or category list counts as not supplied.  ``ids`` is a table
-    with a ``paper_id`` column, or a short list; an empty one selects nothing.
+    with a ``paper_id`` column, or a list; an empty one selects nothing.
     Text filters look for the literal text and ignore case in any script.  On the
     store's table the date bounds prune month partitions as well as row groups.
     """

@@ -2,19 +2,20 @@
 
 Exports are directories of part files.  Rows are range partitioned by the export
 order, so reading the parts in name order gives the whole export in order without
-any task holding all of it; one sub-directory per window.
+any task holding all of it; one sub-directory per window.  Writing replaces the windows that are
+written and leaves others as they are.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, functions as F
 
 from paperloom import defaults, schemas
 from paperloom.functions.bibtex import bibtex_entry
 from paperloom.functions.text import joined
 from paperloom.operators.score import label_counts, label_rank
 from paperloom.operators.select import SCAN_COLUMNS
+from paperloom.plans.staging import delete, write_text
 
 DIGEST_HEADING = "Paper Digest"
 
@@ -56,12 +57,15 @@ def jsonl_lines(rows: DataFrame) -> Column:
     )
 
 
+def _replacing(rows: DataFrame, *keys: str) -> DataFrameWriter:
+    """A writer that replaces the folders of the keys that the rows have."""
+    return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
+
+
 def write_csv(ordered: DataFrame, path: str, *keys: str) -> None:
     """Header in every part; embedded quotes doubled, empty cells left empty."""
     (
-        csv_rows(ordered, *keys)
-        .write.mode("overwrite")
-        .partitionBy(*keys)
+        _replacing(csv_rows(ordered, *keys), *keys)
         .options(
             header=True,
             escape='"',
@@ -76,9 +80,7 @@ def write_csv(ordered: DataFrame, path: str, *keys: str) -> None:
 def write_jsonl(ordered: DataFrame, path: str, *keys: str) -> None:
     """One object per line, ASCII only."""
     (
-        ordered.select(*keys, *defaults.JSONL_COLUMNS)
-        .write.mode("overwrite")
-        .partitionBy(*keys)
+        _replacing(ordered.select(*keys, *defaults.JSONL_COLUMNS), *keys)
         .options(writeNonAsciiCharacterAsCodePoint=True, ignoreNullFields=False)
         .json(path)
     )
@@ -149,13 +151,7 @@ def in_digest_order(lines: DataFrame) -> DataFrame:
 
 
 def write_digest(lines: DataFrame, path: str) -> None:
-    (
-        in_digest_order(lines)
-        .select("window_slug", "line")
-        .write.mode("overwrite")
-        .partitionBy("window_slug")
-        .text(path)
-    )
+    _replacing(in_digest_order(lines).select("window_slug", "line"), "window_slug").text(path)
 
 
 def write_exports(
@@ -163,17 +159,21 @@ def write_exports(
 ) -> None:
     """CSV, JSON Lines and digest of every window, each under its own folder.
 
-    The two row exports share one sort, kept on local disks while both are written;
-    a lost executor only repeats its share of it.
+    ``scored`` should be a stored table, as every export reads it.  A window without rows gets a CSV with
+    the header alone and an empty JSON Lines file.
     """
-    rows = export_rows(scored, "window_slug")
-    ordered = in_export_order(rows, "window_slug").persist(StorageLevel.DISK_ONLY)
-    try:
-        write_csv(ordered, f"{out_dir}/csv", "window_slug")
-        write_jsonl(ordered, f"{out_dir}/jsonl", "window_slug")
-    finally:
-        ordered.unpersist()
+    ordered = in_export_order(export_rows(scored, "window_slug"), "window_slug")
+    write_csv(ordered, f"{out_dir}/csv", "window_slug")
+    write_jsonl(ordered, f"{out_dir}/jsonl", "window_slug")
     write_digest(digest_lines(scored, windows, heading), f"{out_dir}/digest")
+    spark = scored.sparkSession
+    empty = windows.select("window_slug").join(scored.select("window_slug").distinct(), "window_slug", "left_anti")
+    # One row per window of the run at most.
+    for (slug,) in empty.collect():
+        for kind, text in (("csv", ",".join(defaults.CSV_COLUMNS) + "\n"), ("jsonl", "")):
+            folder = f"{out_dir}/{kind}/window_slug={slug}"
+            delete(spark, folder)
+            write_text(spark, f"{folder}/part-00000-empty.{kind}", text)
 
 
 def bibtex_entries(papers: DataFrame) -> DataFrame:
@@ -182,11 +182,14 @@ def bibtex_entries(papers: DataFrame) -> DataFrame:
     return papers.select("paper_id", "published", entry.alias("entry"))
 
 
+def in_bibliography_order(entries: DataFrame) -> DataFrame:
+    return entries.orderBy(F.desc("published"), F.desc("paper_id"))
+
+
 def write_bibtex(papers: DataFrame, path: str) -> None:
     """Newest first, ties by id; a blank line after every entry."""
     (
-        bibtex_entries(papers)
-        .orderBy(F.desc("published"), F.desc("paper_id"))
+        in_bibliography_order(bibtex_entries(papers))
         .select(F.concat("entry", F.lit("\n")).alias("value"))
         .write.mode("overwrite")
         .text(path)

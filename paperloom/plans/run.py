@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paperloom import schemas
 from paperloom.config import FilterConfig
-from paperloom.functions.dates import range_slug
+from paperloom.functions.dates import published_date, range_slug
 from paperloom.operators.candidates import in_window, tagged_candidates
 from paperloom.operators.merge import merge_papers
 from paperloom.operators.score import (
@@ -27,8 +27,8 @@ from paperloom.operators.windows import (
     single_window,
 )
 from paperloom.plans import exports
-from paperloom.plans.staging import staged
-from paperloom.plans.store import PaperStore
+from paperloom.plans.staging import staging
+from paperloom.plans.store import Claim, PaperStore
 
 
 STAGED_COLUMNS = [
@@ -62,9 +62,22 @@ def triage_documents(
     columns = [*papers.columns, "sources", *SCORE_COLUMNS]
     if unique:
         return tagged.select(*columns)
-    copies = tagged.withColumn("copy", F.struct(*papers.columns))
-    arrival = ("source_ordinal", "copy")
-    return merge_papers(copies.select(*columns, *arrival), arrival, keys)
+    # The order of the struct is the order of preference, and it holds every column once.
+    rest = [c for c in papers.columns if c not in keys]
+    copy = F.struct("source_ordinal", *rest, *SCORE_COLUMNS)
+    sources = F.array_sort(F.array_distinct(F.flatten(F.collect_set("sources"))))
+    merged = tagged.groupBy(*keys).agg(F.min(copy).alias("first"), sources.alias("sources"))
+    return merged.select(*keys, "first.*", "sources").select(*columns)
+
+
+def undated(papers: DataFrame) -> DataFrame:
+    """Quarantine rows of the papers whose ``published`` is no full date: no window can hold them."""
+    lost = papers.filter(published_date(F.col("published")).isNull())
+    place = {f.name: f.dataType for f in schemas.QUARANTINE.fields if f.name not in schemas.RUN_KEYS}
+    known = {"abs_url": F.col("abs_url"), "reason": F.lit("no full date")}
+    return lost.select(
+        *[known.get(c, F.col(c) if c in papers.columns else F.lit(None)).cast(t).alias(c) for c, t in place.items()]
+    )
 
 
 def triage_feed(
@@ -75,7 +88,7 @@ def triage_feed(
 
 
 def run_rows(
-    scored: DataFrame, windows: DataFrame, first_run_id: int, collected_at: str, config_path: str
+    scored: DataFrame, windows: DataFrame, first_run_id: int, collected_at: str, config_path: str = ""
 ) -> DataFrame:
     """One run-log row per window, empty windows included."""
     counts = windows.join(label_counts(scored, "window_slug"), "window_slug", "left")
@@ -99,24 +112,27 @@ def record(
     scored: DataFrame,
     windows: DataFrame,
     store: PaperStore,
-    first_run_id: int,
+    claim: Claim,
     config_path: str = "",
     collected_at: str | None = None,
     out_dir: str | None = None,
     heading: str = exports.DIGEST_HEADING,
+    skipped: DataFrame | None = None,
 ) -> None:
-    """Store relevant papers, write exports of all rows, log run papers and runs.
+    """Store relevant papers, write exports of all rows, log what was skipped, run papers and runs.
 
     ``scored`` carries ``window_slug`` and ``window_ordinal``; ``windows`` is the short
     table of windows.
     """
     now = collected_at or utc_now()
-    rows = scored.withColumn("run_id", F.col("window_ordinal") + first_run_id)
-    store.upsert(relevant(rows).withColumn("latest_seen_at", F.lit(now)))
+    rows = scored.withColumn("run_id", F.col("window_ordinal") + claim.run_id)
+    store.upsert(relevant(rows).withColumn("latest_seen_at", F.lit(now)), claim)
     if out_dir:
         exports.write_exports(scored, windows, out_dir, heading)
-    store.record_run_papers(rows)
-    store.record_runs(run_rows(scored, windows, first_run_id, now, config_path))
+    if skipped is not None:
+        store.record_quarantine(skipped.withColumn("run_id", F.lit(claim.run_id).cast("long")), claim)
+    store.record_run_papers(rows, claim)
+    store.record_runs(run_rows(scored, windows, claim.run_id, now, config_path), claim)
 
 
 def run_window(
@@ -125,49 +141,69 @@ def run_window(
     store: PaperStore,
     start: dt.date,
     end: dt.date,
+    landed: bool = False,
+    skipped: DataFrame | None = None,
     **options,
 ) -> int:
     """Run one window over landed feed records or a table of papers; returns the run id.
 
-    Feed records are known by their ``sources`` column and are merged; papers from a
-    table are tagged with the sources that would have found them.
+    ``landed`` records bring their sources and are merged; papers from a table are tagged
+    with the sources that would have found them.  ``skipped`` rows (``feed.quarantine``) and papers without a
+    full date go to the store's quarantine.
     """
-    if "sources" in candidates.columns:
-        inside = candidates.filter(in_window(F.col("published"), start, end))
+    lost = _lost(candidates, skipped)
+    dated = candidates.filter(published_date(F.col("published")).isNotNull())
+    if landed:
+        inside = dated.filter(in_window(F.col("published"), start, end))
         scored = triage_feed(inside, config)
     else:
-        scored = triage_documents(candidates, config, start, end)
+        scored = triage_documents(dated, config, start, end)
     scored = scored.withColumns(
         {
             "window_slug": F.lit(range_slug(start, end)),
             "window_ordinal": F.lit(0).cast("long"),
         }
     )
-    return _finish(scored, single_window(store.spark, start, end), store, **options)
+    return _finish(scored, single_window(store.spark, start, end), 1, lost, store, **options)
 
 
 def run_month(
-    candidates: DataFrame, config: FilterConfig, store: PaperStore, month: str, **options
+    candidates: DataFrame,
+    config: FilterConfig,
+    store: PaperStore,
+    month: str,
+    landed: bool = False,
+    skipped: DataFrame | None = None,
+    **options,
 ) -> int:
-    """Run all 7-day windows of a ``YYYY-MM`` month in one pass; returns the first run id."""
+    """Run all 7-day windows of a ``YYYY-MM`` month in one pass; returns the first run id.
+
+    Takes the options of ``run_window``; what was skipped is logged with the first run.
+    """
+    lost = _lost(candidates, skipped)
     windows = month_windows(store.spark, [month])
     first = dt.datetime.strptime(month, "%Y-%m").date()
     last = (first.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
-    weekly = in_month_weeks(candidates.filter(in_window(F.col("published"), first, last)))
+    dated = candidates.filter(published_date(F.col("published")).isNotNull())
+    weekly = in_month_weeks(dated.filter(in_window(F.col("published"), first, last)))
     keys = ("window_slug", "paper_id")
-    if "sources" in candidates.columns:
+    if landed:
         scored = triage_feed(weekly, config, keys)
     else:
         scored = triage_documents(weekly, config, keys=keys)
-    return _finish(scored, windows, store, **options)
+    return _finish(scored, windows, (last.day + 6) // 7, lost, store, **options)
 
 
-def _finish(scored: DataFrame, windows: DataFrame, store: PaperStore, **options) -> int:
-    rows = staged(
-        scored.select(*STAGED_COLUMNS),
-        "scored",
-        store.staging_dir(),
-    )
-    run_id = store.last_run_id() + 1
-    record(rows, windows, store, run_id, **options)
-    return run_id
+def _lost(candidates: DataFrame, skipped: DataFrame | None) -> DataFrame:
+    lost = undated(candidates)
+    return lost if skipped is None else lost.unionByName(skipped.select(*lost.columns))
+
+
+def _finish(
+    scored: DataFrame, windows: DataFrame, n_windows: int, lost: DataFrame, store: PaperStore, **options
+) -> int:
+    claim = store.claim(n_windows)
+    with staging(store.spark, store.staging_dir()) as put:
+        rows = put(scored.select(*STAGED_COLUMNS), "scored")
+        record(rows, windows, store, claim, skipped=lost, **options)
+    return claim.run_id

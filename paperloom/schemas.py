@@ -73,14 +73,20 @@ FILTER_FILE = T.StructType(
     ]
 )
 
-# Store tables.  The last field of each is its partition column.
-CHANGES = T.StructType(
-    PAPER.fields
-    + [
-        T.StructField("latest_seen_at", T.StringType()),
+# Store tables.  The last fields of each are its partition columns.
+RUN_KEYS = ["run_id", "attempt"]
+CLAIMS = T.StructType(
+    [
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch", T.LongType()),
         T.StructField("run_id", T.LongType()),
+        T.StructField("runs", T.LongType()),
+        T.StructField("attempt", T.LongType()),
     ]
 )
+_RUN = [T.StructField(name, T.LongType()) for name in RUN_KEYS]
+CHANGES = T.StructType(PAPER.fields + [T.StructField("latest_seen_at", T.StringType()), *_RUN])
+CHANGE_COLUMNS = [name for name in CHANGES.fieldNames() if name != "attempt"]
 BASE = T.StructType(
     PAPER.fields
     + [
@@ -90,7 +96,8 @@ BASE = T.StructType(
         T.StructField("published_month", T.StringType()),
     ]
 )
-SNAPSHOTS = T.StructType([T.StructField("snapshot", T.LongType())])
+# Which attempts at which runs a snapshot holds.
+SNAPSHOTS = T.StructType([T.StructField("snapshot", T.LongType()), *_RUN])
 RUNS = T.StructType(
     [
         T.StructField("collected_at", T.StringType()),
@@ -100,7 +107,7 @@ RUNS = T.StructType(
         T.StructField("core_count", T.LongType()),
         T.StructField("adjacent_count", T.LongType()),
         T.StructField("config_path", T.StringType()),
-        T.StructField("run_id", T.LongType()),
+        *_RUN,
     ]
 )
 QUARANTINE = T.StructType(
@@ -111,7 +118,7 @@ QUARANTINE = T.StructType(
         T.StructField("pos", T.IntegerType()),
         T.StructField("abs_url", T.StringType()),
         T.StructField("reason", T.StringType()),
-        T.StructField("run_id", T.LongType()),
+        *_RUN,
     ]
 )
 RUN_PAPERS = T.StructType(
@@ -119,6 +126,6 @@ RUN_PAPERS = T.StructType(
         T.StructField("paper_id", T.StringType()),
         T.StructField("label", T.StringType()),
         T.StructField("sources", _STRINGS),
-        T.StructField("run_id", T.LongType()),
+        *_RUN,
     ]
 )

@@ -8,14 +8,8 @@ from paperloom.functions.text import compact_whitespace
 
 
 def read_documents(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """The columns asked for, and nothing else, from a Parquet table.
-
-    A table that is stored in fewer splits than there are cores is dealt out over
-    the cores; one that is large enough is read where it lies.
-    """
-    rows = spark.read.parquet(path).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """The columns asked for, and nothing else, from a Parquet table, read where it lies."""
+    return spark.read.parquet(path).select(*columns)
 
 
 def first_line(text: Column) -> Column:

@@ -94,13 +94,11 @@ def skip_reason(record: dict[str, Column]) -> Column:
     )
 
 
-def page_entries(parsed: DataFrame) -> DataFrame:
-    """One paper row per entry with its position and, if invalid, the reason."""
-    rows = parsed.select(*PAGE_COLUMNS, F.posexplode("entries").alias("pos", "entry"))
-    entry = F.col("entry")
+def _fields(entry: Column) -> dict[str, Column]:
+    """The fields of a paper out of a raw entry."""
     abs_url = _first_text(entry["id"])
     strings = "array<string>"
-    columns = {
+    return {
         "paper_id": paper_id_from_url(abs_url),
         "title": compact_whitespace(_first_text(entry["title"])),
         "summary": compact_whitespace(_first_text(entry["summary"])),
@@ -124,6 +122,12 @@ def page_entries(parsed: DataFrame) -> DataFrame:
         "abs_url": abs_url,
         "pdf_url": pdf_link(entry["link"]),
     }
+
+
+def page_entries(parsed: DataFrame) -> DataFrame:
+    """One paper row per entry with its position and, if invalid, the reason."""
+    rows = parsed.select(*PAGE_COLUMNS, F.posexplode("entries").alias("pos", "entry"))
+    columns = _fields(F.col("entry"))
     placed = rows.select(
         *PAGE_COLUMNS, "pos", *[columns[c].alias(c) for c in schemas.PAPER_COLUMNS]
     )
@@ -146,39 +150,58 @@ def invalid_records(entries: DataFrame) -> DataFrame:
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
-    """Everything that was not taken in: unreadable pages and invalid entries."""
-    place = [*PAGE_COLUMNS, "pos", "abs_url", "reason"]
-    pages = corrupt_pages(parsed).withColumns(
-        {
-            "pos": F.lit(None).cast("int"),
-            "abs_url": F.lit(None).cast("string"),
-            "reason": F.lit("unreadable page"),
-        }
-    )
-    entries = invalid_records(page_entries(parsed)).withColumnRenamed("skip_reason", "reason")
-    return pages.select(*place).unionByName(entries.select(*place))
+    """Everything that was not taken in: unreadable pages and invalid entries.
+
+    A page yields itself or its invalid entries, so it is parsed once.
+    """
+    kind = "array<struct<pos:int,abs_url:string,reason:string>>"
+
+    def refused(pos: Column, abs_url: Column, reason: Column) -> Column:
+        return F.struct(pos.alias("pos"), abs_url.alias("abs_url"), reason.alias("reason"))
+
+    def of_entry(entry: Column, pos: Column) -> Column:
+        fields = _fields(entry)
+        return refused(pos, fields["abs_url"], skip_reason(fields))
+
+    none = F.lit(None)
+    page = F.array(refused(none.cast("int"), none.cast("string"), F.lit("unreadable page"))).cast(kind)
+    entries = F.filter(F.transform("entries", of_entry), lambda e: e["reason"].isNotNull()).cast(kind)
+    return parsed.select(*PAGE_COLUMNS, F.inline(F.when(F.col("corrupt"), page).otherwise(entries)))
 
 
 def ingest_completeness(
     parsed: DataFrame, page_size: int = defaults.FEED_PAGE_SIZE
 ) -> DataFrame:
-    """Per source: declared total against entries and pages that landed."""
-    per_page = parsed.groupBy("source_name", "source_ordinal", "page_start").agg(
+    """Per source: the pages its declared total calls for against those that landed in place.
+
+    A page that landed several times counts once, by the copy with most entries.  Pages are called for at 0,
+    ``page_size``, and so on below the total; what landed elsewhere is not counted.
+    """
+    source = ["source_name", "source_ordinal"]
+    per_page = parsed.groupBy(*source, "page_start").agg(
         F.max("declared_total").alias("declared_total"),
-        F.sum(F.coalesce(F.size("entries"), F.lit(0)).cast("long")).alias("entries"),
-        F.count_if("corrupt").alias("corrupt_pages"),
+        F.max(F.coalesce(F.size("entries"), F.lit(0)).cast("long")).alias("entries"),
+        F.count_if("corrupt").alias("corrupt_copies"),
+        (~F.bool_and("corrupt")).alias("readable"),
     )
-    totals = per_page.groupBy("source_name", "source_ordinal").agg(
+    totals = per_page.groupBy(*source).agg(
         F.coalesce(F.max("declared_total"), F.lit(0).cast("long")).alias("declared_total"),
-        F.sum("entries").alias("landed_entries"),
-        F.count("*").alias("landed_pages"),
-        F.sum("corrupt_pages").alias("corrupt_pages"),
+    )
+    # A source has few pages beside its entries, so both aggregates are small.
+    placed = per_page.drop("declared_total").join(totals, source)
+    wanted = (F.col("page_start") % page_size == 0) & (F.col("page_start") >= 0)
+    wanted = wanted & (F.col("page_start") < F.col("declared_total")) & F.col("readable")
+    counts = placed.groupBy(*source, "declared_total").agg(
+        F.sum(F.when(wanted, F.col("entries")).otherwise(0)).alias("landed_entries"),
+        F.count_if(wanted).alias("landed_pages"),
+        F.sum("corrupt_copies").alias("corrupt_pages"),
     )
     expected = F.ceil(F.col("declared_total") / page_size).cast("long")
-    return totals.withColumns(
+    gap = F.col("landed_pages") < expected
+    return counts.withColumns(
         {
             "expected_pages": expected,
-            "has_gap": F.col("landed_pages") - F.col("corrupt_pages") < expected,
-            "complete": F.col("landed_entries") >= F.col("declared_total"),
+            "has_gap": gap,
+            "complete": ~gap & (F.col("landed_entries") >= F.col("declared_total")),
         }
     )

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from paperloom.config import FilterConfig
 from paperloom.plans.run import STAGED_COLUMNS, record, triage_feed
-from paperloom.plans.staging import staged
+from paperloom.plans.staging import staging
 from paperloom.plans.store import PaperStore
 from paperloom.sources.feed import (
     feed_page_stream,
@@ -20,37 +20,38 @@ from paperloom.sources.feed import (
 
 def ingest_batch(
     pages: DataFrame,
-    run_id: int,
+    batch: int,
     config: FilterConfig,
     store: PaperStore,
+    writer: str,
     collected_at: str | None = None,
-) -> None:
-    """Merge, score and record one batch of pages as run ``run_id``.
+) -> int:
+    """Merge, score and record a batch of pages as one run; returns the run id.
 
     Pages are parsed once; what cannot be taken in goes to the quarantine table.
-    Everything is written under the run id, so repeating a batch changes nothing.
-    The window is what the batch covers.
+    The store knows the run by ``writer`` and ``batch``: a repeated batch keeps its id, and its
+    rows replace those of the attempt before.  The window is what the batch covers.
     """
-    slug = f"batch_{run_id}"
-    parsed = staged(parse_pages(pages), "pages", store.staging_dir())
-    store.record_quarantine(
-        quarantine(parsed).withColumn("run_id", F.lit(run_id).cast("long"))
-    )
-    candidates = valid_papers(page_entries(parsed))
-    scored = triage_feed(candidates, config).withColumns(
-        {"window_slug": F.lit(slug), "window_ordinal": F.lit(0).cast("long")}
-    )
-    rows = staged(scored.select(*STAGED_COLUMNS), "batch", store.staging_dir())
-    day = F.left("published", F.lit(10))
-    windows = rows.agg(
-        F.min(day).alias("window_start"), F.max(day).alias("window_end")
-    ).select(
-        F.lit(slug).alias("window_slug"),
-        "window_start",
-        "window_end",
-        F.lit(0).cast("long").alias("window_ordinal"),
-    )
-    record(rows, windows, store, run_id, collected_at=collected_at)
+    claim = store.claim(1, writer, batch)
+    slug = f"batch_{claim.run_id}"
+    with staging(store.spark, store.staging_dir()) as put:
+        parsed = put(parse_pages(pages), "pages")
+        candidates = valid_papers(page_entries(parsed))
+        scored = triage_feed(candidates, config).withColumns(
+            {"window_slug": F.lit(slug), "window_ordinal": F.lit(0).cast("long")}
+        )
+        rows = put(scored.select(*STAGED_COLUMNS), "batch")
+        day = F.left("published", F.lit(10))
+        windows = rows.agg(
+            F.min(day).alias("window_start"), F.max(day).alias("window_end")
+        ).select(
+            F.lit(slug).alias("window_slug"),
+            "window_start",
+            "window_end",
+            F.lit(0).cast("long").alias("window_ordinal"),
+        )
+        record(rows, windows, store, claim, collected_at=collected_at, skipped=quarantine(parsed))
+    return claim.run_id
 
 
 def stream_feed(
@@ -58,19 +59,19 @@ def stream_feed(
     config: FilterConfig,
     store: PaperStore,
     checkpoint: str,
-    first_run_id: int = 1,
     files_per_batch: int | None = None,
+    writer: str | None = None,
 ) -> StreamingQuery:
     """Take in all pages landed since the last call and stop.
 
     A backlog is worked off in batches of ``files_per_batch`` files, or in one.
 
-    Batch ``n`` of the checkpoint is run ``first_run_id + n``; keep the number with
-    the checkpoint.  ``checkpoint`` is a folder on the shared file system.
+    ``checkpoint`` is a folder on the shared file system.  The store knows the stream's batches by
+    ``writer``, which is the checkpoint's path unless it is named; give a moved checkpoint its old name.
     """
 
     def ingest(pages: DataFrame, batch_id: int) -> None:
-        ingest_batch(pages, first_run_id + batch_id, config, store)
+        ingest_batch(pages, batch_id, config, store, writer or checkpoint)
 
     reader = feed_page_stream(store.spark)
     if files_per_batch:

@@ -128,3 +128,28 @@ def test_windows_without_papers_have_digests(spark, make_papers, small_config, t
     empty = read_parts(tmp_path / "digest" / "window_slug=2026_Mar_Wk1")
     assert empty.count("- None") == 2
     assert "- Core papers: 0\n" in empty
+
+
+def test_windows_stand_side_by_side_and_a_rerun_replaces_its_own(spark, make_papers, small_config, tmp_path):
+    week = lambda i: single_window(spark, dt.date(2026, 3, i), dt.date(2026, 3, i + 6))
+    slug = lambda i: f"202603{i:02d}_202603{i + 6:02d}"
+
+    def write(i, *rows):
+        papers = score_papers(make_papers(*rows), small_config).withColumn("sources", F.array(F.lit("s")))
+        exports.write_exports(papers.withColumn("window_slug", F.lit(slug(i))), week(i), str(tmp_path))
+
+    def ids(i):
+        text = read_parts(tmp_path / "jsonl" / f"window_slug={slug(i)}")
+        return [json.loads(line)["arxiv_id"] for line in text.splitlines()]
+
+    write(10, {"title": "a"}, {"title": "b"})
+    write(17, {"title": "a"})
+    assert (ids(10), ids(17)) == (["p1", "p0"], ["p0"])
+    write(10, {"title": "a"})
+    assert (ids(10), ids(17)) == (["p0"], ["p0"])
+    assert read_parts(tmp_path / "digest" / f"window_slug={slug(17)}").startswith("# ")
+    # The first week again, now without any row.
+    write(10)
+    assert (ids(10), ids(17)) == ([], ["p0"])
+    header = read_parts(tmp_path / "csv" / f"window_slug={slug(10)}")
+    assert header.startswith("label,arxiv_id,") and header.count("\n") == 1

@@ -30,3 +30,4 @@ def test_no_query_pairs_everything(spark, name):
     assert "CartesianProduct" not in plan
     assert "NestedLoopJoin" not in plan
     assert "EvalPython" not in plan
+    assert "RoundRobinPartitioning" not in plan

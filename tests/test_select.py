@@ -49,12 +49,13 @@ def test_dates_prune_the_store(spark, make_papers, tmp_path):
     from pyspark.sql import functions as F
 
     store = PaperStore(spark, str(tmp_path)).create()
+    claim = store.claim()
     store.upsert(
-        make_papers(*ROWS).withColumns({"run_id": F.lit(1).cast("long"), "latest_seen_at": F.lit("now")})
+        make_papers(*ROWS).withColumns({"run_id": F.lit(1).cast("long"), "latest_seen_at": F.lit("now")}), claim
     )
     store.record_runs(spark.createDataFrame([("now", "a", "b", 3, 3, 0, "", 1)],
                       "collected_at string, window_start string, window_end string, total_candidates long,"
-                      " core_count long, adjacent_count long, config_path string, run_id long"))
+                      " core_count long, adjacent_count long, config_path string, run_id long"), claim)
     store.compact()
     chosen = select_papers(store.papers(), categories=["l"], start=D(2026, 3, 1), end=D(2026, 3, 31))
     chosen = chosen.select("paper_id", "title")
@@ -67,3 +68,12 @@ def test_dates_prune_the_store(spark, make_papers, tmp_path):
     assert "LessThan(published,2026-04-01)" in pushed
     assert "primary_category" in pushed
     assert "summary" not in base.split("ReadSchema")[1]
+
+
+def test_a_million_ids_are_not_broadcast(make_papers):
+    papers = make_papers({})
+    many = plan_text(select_papers(papers, ids=[f"p{i}" for i in range(1_000_000)]))
+    assert "BroadcastHashJoin" not in many
+    few = select_papers(papers, ids=["p0", "p9"])
+    assert "BroadcastHashJoin" in plan_text(few) and few.count() == 1
+    assert select_papers(papers, ids=[]).count() == 0

@@ -49,18 +49,35 @@ def test_two_batches_and_a_replay(spark, small_config, tmp_path):
     again = tmp_path / "again"
     shutil.copytree(landing / "source_ordinal=0" / "source_name=category%3Ak" / "page_start=100",
                     again / "source_ordinal=0" / "source_name=category%3Ak" / "page_start=100")
-    ingest_batch(read_feed_pages(spark, str(again)), 2, small_config, store)
+    ingest_batch(read_feed_pages(spark, str(again)), 1, small_config, store, checkpoint)
     assert snapshot(store) == (papers, run_papers, runs)
 
 
+def test_window_runs_and_stream_batches_share_a_store(spark, make_papers, small_config, tmp_path):
+    import datetime as dt
+
+    from paperloom.plans.run import run_window
+
+    store = PaperStore(spark, str(tmp_path / "store")).create()
+    march = (dt.date(2026, 3, 1), dt.date(2026, 3, 31))
+    assert run_window(make_papers({"paper_id": "w1", "title": "a"}), small_config, store, *march) == 1
+    land(tmp_path / "landing", "1.xml", feed_page(feed_entry("1", title="a")))
+    stream_feed(str(tmp_path / "landing"), small_config, store, str(tmp_path / "progress")).awaitTermination()
+    store.compact()
+    assert run_window(make_papers({"paper_id": "w2", "title": "a"}), small_config, store, *march) == 3
+    land(tmp_path / "landing", "2.xml", feed_page(feed_entry("2", title="a")), start=100)
+    stream_feed(str(tmp_path / "landing"), small_config, store, str(tmp_path / "progress")).awaitTermination()
+    assert sorted((r.paper_id, r.run_id) for r in store.papers().collect()) == [("1", 2), ("2", 4), ("w1", 1), ("w2", 3)]
+
+
 def test_backlog_in_several_batches(spark, small_config, tmp_path):
     store = PaperStore(spark, str(tmp_path / "store")).create()
     for i in range(3):
         land(tmp_path / "landing", f"{i}.xml", feed_page(feed_entry(str(i), title="a")), start=i * 100)
     stream_feed(
-        str(tmp_path / "landing"), small_config, store, str(tmp_path / "progress"), 10, 1
+        str(tmp_path / "landing"), small_config, store, str(tmp_path / "progress"), 1
     ).awaitTermination()
-    assert sorted(r.run_id for r in store.papers().collect()) == [10, 11, 12]
+    assert sorted(r.run_id for r in store.papers().collect()) == [1, 2, 3]
 
 
 def test_batch_of_broken_pages_only(spark, small_config, tmp_path):
