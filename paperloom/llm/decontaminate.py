@@ -1,7 +1,8 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 A window is as long as a benchmark item.  A window whose shingles share none with any item has similarity 0 to all of them, so
-windows are laid where a shingle of the text is one of an item, aligned with that item; no window that could pass is left out.
+windows are laid where a shingle of the text is one of an item, aligned with that item.  A shifted window holds no more
+shared shingles than the aligned ones.
 Each window and item gets a 64-bit SimHash of its words.  For fingerprints within ``RADIUS`` bits, at least one of
 ``RADIUS + 1`` blocks is the same (pigeonhole), so an equi-join on blocks finds all pairs within the radius.  Pairs are then
 held to the exact similarity of their weighted shingles: the shared weight over the weight of either, a shingle weighing as
