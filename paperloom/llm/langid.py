@@ -46,17 +46,21 @@ def _letters() -> np.ndarray:
     return _TABLE[0]
 
 
-def gram_features(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Feature numbers of every place, one array per order, and where each text begins in them."""
-    points = np.frombuffer("".join(t + "   " for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+def gram_features(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Feature numbers of every place, one array per order, and where each text begins and ends in them.
+
+    A gap stands before a text and gaps enough behind it that no gram reaches the next one.
+    """
+    points = np.frombuffer("".join(" " + t + "  " for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.where(points < 1 << 16, _letters()[np.minimum(points, 0xFFFF)], points).astype(np.uint64)
     starts = np.cumsum([0] + [len(t) + 3 for t in texts])[:-1]
+    ends = starts + np.array([len(t) + 1 for t in texts], np.int64)
     out, key = [], codes
     for order in range(1, ORDERS + 1):
         if order > 1:
             key = key * np.uint64(0x110003) + np.concatenate([codes[order - 1 :], np.full(order - 1, 32, np.uint64)])
         out.append(((key + np.uint64(order)) * _SPREAD >> np.uint64(64 - FEATURE_BITS)).astype(np.int32))
-    return out, starts
+    return out, starts, ends
 
 
 @dataclass
@@ -68,11 +72,12 @@ class LanguageModel:
     temperature: float
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
-        features, starts = gram_features(texts)
+        features, starts, ends = gram_features(texts)
         total = np.zeros((len(texts), len(self.languages)))
+        spans = np.stack([starts, ends], axis=1).reshape(-1)
         for f in features:
-            total += np.add.reduceat(self.table[f], starts, axis=0)
-        sizes = np.diff(np.concatenate([starts, [len(features[0])]])) * ORDERS
+            total += np.add.reduceat(self.table[f], spans, axis=0)[::2]
+        sizes = (ends - starts) * ORDERS
         z = (total * (SCALE / sizes[:, None]) + self.bias) / self.temperature
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
@@ -90,8 +95,7 @@ def _document_counts(rows: DataFrame) -> DataFrame:
         count, mark = np.zeros(1 << FEATURE_BITS, np.int64), np.zeros(1 << FEATURE_BITS, bool)
         for batch in small_batches(batches, "text", 1 << 20):
             texts = batch.column("text").to_pylist()
-            features, starts = gram_features(texts)
-            ends = np.append(starts[1:], len(features[0]))
+            features, starts, ends = gram_features(texts)
             for a, b in zip(starts.tolist(), ends.tolist()):
                 for f in features:
                     mark[f[a:b]] = True
@@ -170,8 +174,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     def described(batches):
         for batch in small_batches(batches, "text", 1 << 20):
             texts = batch.column("text").to_pylist()
-            features, starts = gram_features(texts)
-            ends = np.append(starts[1:], len(features[0]))
+            features, starts, ends = gram_features(texts)
             at, values = [], []
             for a, b in zip(starts.tolist(), ends.tolist()):
                 used, n = np.unique(np.concatenate([f[a:b] for f in features]), return_counts=True)

@@ -153,8 +153,8 @@ def test_repeated_rows_and_missing_ids(make_docs):
     text = " ".join(f"w{i}" for i in range(30))
     docs = make_docs([(1, text, None), (1, text, None), (None, text, None), (2, text + " x", None), (None, None, None)])
     got = jaccard.similar_classes(docs).collect()
-    assert sorted((r.doc_id or -1, r.class_id, r.n_links, r.class_rows) for r in got) == [
-        (-1, None, 0, 1), (-1, 1, 3, 4), (1, 1, 3, 4), (1, 1, 3, 4), (2, 1, 3, 4),
+    assert sorted((r.doc_id or -1, r.class_id or -1, r.n_links, r.class_rows) for r in got) == [
+        (-1, -1, 0, 1), (-1, 1, 3, 4), (1, 1, 3, 4), (1, 1, 3, 4), (2, 1, 3, 4),
     ]
     assert jaccard.keep_one(docs).count() == 2
     assert jaccard.similar_classes(make_docs([])).count() == 0
