@@ -233,4 +233,4 @@ def test_copies_of_a_table_carry_their_text_once(make_papers, small_config):
 
     plan = plan_text(triage_documents(make_papers({"title": "a"}), small_config))
     partial = next(line for line in plan.splitlines() if "partial_min" in line)
-    assert partial.count("summary") == 1 and partial.count("title") == 1
+    assert partial.count("summary#") == 1 and partial.count("title#") == 1
