@@ -254,8 +254,10 @@ def write_token_files(
     """
     spark = docs.sparkSession
     path = path or new_folder(spark, "token-files")
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
-    made = tokenize(keyed, tokenizer_file, ["doc_id", "tie"], end_id, id_width)
+    # The serial number is stored with the ids; it lets rows that repeat without end be split over files too.
+    serial = F.monotonically_increasing_id().alias("serial")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"), serial)
+    made = tokenize(keyed, tokenizer_file, ["doc_id", "tie", "serial"], end_id, id_width)
     folder = new_folder(spark, "token-ids")
     made.write.option("compression", "zstd").parquet(folder)
     ids = spark.read.schema(made.schema).parquet(folder)
@@ -268,7 +270,7 @@ def write_token_files(
     lengths = code_lengths(counts)
     codes = canonical_codes(lengths)
 
-    key = F.struct(F.col("doc_id").alias("k0"), F.col("tie"))
+    key = F.struct(F.col("doc_id").alias("k0"), F.col("tie"), F.col("serial"))
     n_ids = (F.octet_length("ids") / id_width).cast("bigint")
     files = max(1, -(-int(counts.sum()) // ids_per_file))
     ranges = _Ranges(ids.select(key.alias("_key"), n_ids.alias("_size")), files, max(40_000, 40 * files))
@@ -278,7 +280,7 @@ def write_token_files(
     shared = spark.sparkContext.broadcast((lengths, codes))
     start = F.get(constant([starts.get(i, 0) for i in range(len(ranges.bounds) + 1)], "array<bigint>"), F.col("file"))
     ranges.rows = ids.select(key.alias("_key"), "ids")
-    placed = ranges.located().select(F.col("_range").alias("file"), "_key.k0", "_key.tie", "ids")
+    placed = ranges.located().select(F.col("_range").alias("file"), "_key.k0", "_key.tie", "_key.serial", "ids")
 
     def encode(batches):
         lengths, codes = shared.value
@@ -288,13 +290,14 @@ def write_token_files(
             whole = np.frombuffer(b"".join(parts), f"<u{id_width}")
             coded, offsets = pack(whole, sizes, lengths, codes, block_ids)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("file", "k0", "tie")]
+                [batch.column(c) for c in ("file", "k0", "tie", "serial")]
                 + [pa.array(sizes), pa.array(coded, pa.binary()), pa.array(offsets, pa.binary())],
-                names=["file", "doc_id", "tie", "n", "bits", "blocks"],
+                names=["file", "doc_id", "tie", "serial", "n", "bits", "blocks"],
             )
 
-    coded = placed.mapInArrow(encode, "file int, doc_id bigint, tie bigint, n bigint, bits binary, blocks binary")
-    ordered = coded.withColumn("start", start).repartition(files, "file").sortWithinPartitions("file", "doc_id", "tie")
+    coded = placed.mapInArrow(encode, "file int, doc_id bigint, tie bigint, serial bigint, n bigint, bits binary, blocks binary")
+    ordered = coded.withColumn("start", start).repartition(files, "file")
+    ordered = ordered.sortWithinPartitions("file", "doc_id", "tie", "serial")
 
     def write(batches):
         lengths, _ = shared.value
