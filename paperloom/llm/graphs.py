@@ -8,11 +8,15 @@ from paperloom.llm.common import stage
 
 
 def _stars(edges: DataFrame) -> DataFrame:
-    """One round: neighbours move to the least node in reach, first larger ones, then smaller ones."""
+    """One round: neighbours move to the least node in reach, first larger ones, then smaller ones.
+
+    The minima are written before they are joined: a join of plain tables is one that Spark can split at a hub.
+    """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-    down = large.groupBy("a").agg(F.min("b").alias("m"))
+    least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
+    large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = stage(large.distinct(), "large")
+    down = stage(large.groupBy("a").agg(F.min("b").alias("m")), "down")
     near = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return near.unionByName(down.select("a", F.col("m").alias("b"))).where("a > b").distinct()
 
