@@ -5,7 +5,7 @@ row merges its leftmost pair of least rank, found in a hash table of all mergeab
 rows without a mergeable pair leave the matrix.  Pieces beyond ``MATRIX_BYTES`` go through a heap, which merges in
 the same order without a round per merge over the whole row.
 
-Known pieces and chunks are remembered up to a fixed number of entries.  Texts are worked on in stretches, so memory
+Known pieces and chunks are remembered; beyond a fixed number of entries the older half is forgotten.  Texts are worked on in stretches, so memory
 does not follow the length of a text.
 
 Defined results: a null text counts as empty and has no ids; repeated rows give repeated results; an empty table
@@ -23,12 +23,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from paperloom.llm.arrow import chunks, get_file, small_batches, stretches
+from paperloom.llm.arrow import chunks, forget, get_file, small_batches, stretches
 
 MATRIX_BYTES = 256
 MATRIX_CELLS = 1 << 19
 #: Entries that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 _NONE = np.uint32(0xFFFFFFFF)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -182,16 +182,12 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
+        forget(self._chunks, REMEMBERED)
+        forget(self._pieces, REMEMBERED)
         cut = [chunks(t) for t in texts]
         new = list(set(itertools.chain.from_iterable(cut)).difference(self._chunks))
-        if len(self._chunks) + len(new) > REMEMBERED:
-            self._chunks.clear()
-            new = list(set(itertools.chain.from_iterable(cut)))
         split = [self.pattern.findall(c) for c in new]
         pieces = list(set(itertools.chain.from_iterable(split)).difference(self._pieces))
-        if len(self._pieces) + len(pieces) > REMEMBERED:
-            self._pieces.clear()
-            pieces = list(set(itertools.chain.from_iterable(split)))
         self._pieces.update(zip(pieces, self._merge([p.encode() for p in pieces])))
         known = self._pieces.__getitem__
         self._chunks.update(zip(new, (b"".join(map(known, s)) for s in split)))
