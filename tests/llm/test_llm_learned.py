@@ -189,3 +189,44 @@ def test_pipeline_stages(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in out.collect()} == left
     assert "ids" in out.columns and public_tokenizers.PATTERN
+
+
+def test_estimates_equal_the_full_array(spark):
+    rng = np.random.default_rng(3)
+    numbers = np.concatenate([rng.zipf(1.3, 6000) % quality.GRAMS, rng.integers(0, quality.GRAMS, 400), np.arange(32)])
+    folds = rng.integers(0, quality.FOLDS, len(numbers))
+    counts = np.stack([np.bincount(numbers[folds == f], minlength=quality.GRAMS) for f in range(quality.FOLDS)], axis=1)
+    gram = lambda g: "".join(chr(65 + (int(g) >> s & 31)) for s in (15, 10, 5, 0))
+    some = np.flatnonzero(counts.sum(axis=1))
+    rows = [("en", int(g), gram(g), *map(int, counts[g])) for g in some] + [("de", 1, "AAAA", 1, 0, 0, 0)]
+    table = spark.createDataFrame(rows, "model string, h long, gram string, n0 long, n1 long, n2 long, n3 long")
+    got = {r.h: r for r in quality.estimates(table, 4).collect() if r.model == "en"}
+    assert len(got) == len(some)
+    for f in range(quality.FOLDS):
+        wanted = np.exp(quality.kneser_ney(counts.sum(axis=1) - counts[:, f]).astype(float))
+        assert all(abs(got[g][f"p{f}"] - wanted[g]) < 1e-5 for g in some)
+
+
+def test_model_tells_characters_apart_and_grows(spark, make_docs):
+    """Digits, marks and letters that shared a class are told apart, and the model has a row for each different n-gram."""
+    rng = random.Random(12)
+    alphabets = ["0123", "5678", "éàèù"]
+    rows = [(i, "".join(rng.choice(alphabets[i % 3]) for _ in range(400)), "en") for i in range(60)]
+    docs = make_docs(rows).select(F.col("lang").alias("model"), F.pmod(F.xxhash64("text"), F.lit(quality.FOLDS)).cast("int").alias("fold"), "text")
+    texts = [" " * (quality.ORDER - 1) + t for _, t, _ in rows]
+    for n in (30, 60):
+        grams = {t[i : i + quality.ORDER] for t in texts[:n] for i in range(len(t) - quality.ORDER + 1)}
+        table = spark.read.parquet(*quality.train(docs.limit(n)))
+        assert table.count() == table.select("h").distinct().count() == len(grams)
+
+
+def test_scores_leave_out_the_own_text(make_docs):
+    """Random characters do not foretell themselves; copies do not either."""
+    rng = random.Random(13)
+    rows = [(i, sentence("en", 100, rng), "en") for i in range(80)]
+    noise = " ".join("".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(6)) for _ in range(80))
+    rows += [(900, noise, "en"), (901, noise, "en")]
+    got = {r.doc_id: r for r in quality.judge(make_docs(rows), ["doc_id"]).collect()}
+    assert min(got[i].log_perplexity for i in (900, 901)) > 3 * max(got[i].log_perplexity for i in range(80))
+    assert not got[900].kept and not got[901].kept
+    assert got[0].log_perplexity > 0
