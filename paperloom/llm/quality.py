@@ -2,16 +2,16 @@
 
 Spark counts all n-grams of ``ORDER`` characters of all texts by language, with nothing folded.  The shorter ones, their continuation counts, and
 the interpolated modified Kneser-Ney estimates follow from them by aggregation and joins.  The estimates of the longest n-grams are the model:
-a table of 64-bit hashes, sorted and partitioned by ranges of (language, hash), that grows with the corpus.  It is sent nowhere as a
+a table of 64-bit hashes, sorted and partitioned by ranges of (language, hash), that grows with the corpus and the number of languages.  It is sent nowhere as a
 whole: a task that scores texts gathers the distinct n-grams of about ``BLOCK`` characters and searches the parts of the table that hold
 their languages, one slice at a time.
 
 A text is scored by the counts of the other folds: every n-gram has ``FOLDS`` estimates, each without the counts of one fold, and equal texts
 are in one fold.  Otherwise rare contexts, which junk consists of, would foretell themselves.
 
-A language's band of log perplexity lies ``BAND`` interquartile ranges beyond its quartiles, over all texts that pass the base rules, and is
-wider for short texts, whose mean varies more: by the root of ``1 + SHORT / characters``.  Junk lies far outside, and no fixed
-share of the texts is rejected.
+Every language has its own model and band, however many there are.  Its band of log perplexity lies ``BAND`` interquartile ranges beyond its
+quartiles, over all texts that pass the base rules, and is wider for short texts, whose mean varies more: by the root of
+``1 + SHORT / characters``.  Junk lies far outside, and no fixed share of the texts is rejected.
 
 Defined results: a null text counts as empty, without words, and fails the base rules; a null language is a language of its own; repeated rows
 are measured each; other columns are ignored; an empty table gives an empty table.
@@ -26,7 +26,6 @@ import pyarrow as pa
 from pyarrow import compute, parquet
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from paperloom.functions.literals import constant
 from paperloom.llm.arrow import filesystem, small_batches
 from paperloom.llm.common import stage, union_all
 
@@ -40,13 +39,11 @@ HELD = 1 << 21
 #: The small alphabet of ``kneser_ney``, the estimates over a full array.
 CLASSES = 32
 GRAMS = CLASSES**4
-LANGUAGES = 32
 BAND = 3.0
 SHORT = 600
 LEAST_WORDS = 50
 MOST_REPEATED = 0.5
 SYMBOLS = b"#*$%&|<>"
-_OTHER = "\0other"
 _LEAST = 1e-12
 
 
@@ -318,21 +315,14 @@ def measures(text: str) -> tuple[int, int, int, int, int]:
     return len(words), len(text) - gaps, symbols, len(lines) - len(set(lines)), repeated_words(words)
 
 
-def _language(chosen: list[str]) -> Column:
-    lang = F.coalesce(F.col("lang"), F.lit(""))
-    return F.when(lang.isin(chosen), lang).otherwise(_OTHER)
-
-
 _MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns, the measures, base_failed, log_perplexity, low, high, kept.  Needs the columns text and lang."""
-    spark = docs.sparkSession
-    sizes = docs.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).count()
-    chosen = [r[0] for r in sizes.orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    language = F.coalesce(F.col("lang"), F.lit("")).alias("model")
     fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold")
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], _language(chosen).alias("model"), fold, "text")
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], language, fold, "text")
     files = train(rows)
     kept = [f"_k{i}" for i in range(len(keep))]
 
@@ -354,14 +344,12 @@ def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
     repeated = F.lit(100) * F.col("n_repeat_words") > F.lit(int(100 * MOST_REPEATED)) * F.col("n_words")
     failed = (F.col("n_words") < LEAST_WORDS) | repeated
     quartiles = scored.where(~failed).groupBy("model").agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q"))
-    bands = {}
-    for model, (low, high) in quartiles.collect():
-        # A language whose texts hardly differ still gets a band of some width.
-        reach = BAND * max(high - low, 0.02)
-        bands[model] = {"low": low, "high": high, "reach": reach}
-    band = F.element_at(constant(bands, "map<string, struct<low:double, high:double, reach:double>>"), F.col("model"))
+    # A language whose texts hardly differ still gets a band of some width.
+    reach = F.lit(BAND) * F.greatest(F.col("q")[1] - F.col("q")[0], F.lit(0.02))
+    # Written, so that Spark knows its size and chooses the join by it.
+    bands = stage(quartiles.select("model", F.struct(F.col("q")[0].alias("low"), F.col("q")[1].alias("high"), reach.alias("reach")).alias("band")), "bands")
     wide = F.sqrt(1 + F.lit(SHORT) / F.greatest(F.lit(1), F.col("word_chars") + F.col("n_words")))
-    out = scored.select("*", failed.alias("base_failed"), band.alias("band"), wide.alias("wide"))
+    out = scored.join(bands, "model", "left").select("*", failed.alias("base_failed"), wide.alias("wide"))
     low = F.col("band.low") - F.col("band.reach") * F.col("wide")
     high = F.col("band.high") + F.col("band.reach") * F.col("wide")
     inside = F.col("log_perplexity").between(low, high)

@@ -230,3 +230,23 @@ def test_scores_leave_out_the_own_text(make_docs):
     assert min(got[i].log_perplexity for i in (900, 901)) > 3 * max(got[i].log_perplexity for i in range(80))
     assert not got[900].kept and not got[901].kept
     assert got[0].log_perplexity > 0
+
+
+def test_every_language_has_its_own_band(make_docs):
+    """Forty languages, each with an alphabet of its own: junk of one that is not among the most frequent goes, its clean texts stay."""
+    rng = random.Random(14)
+    word = lambda first: "".join(chr(first + rng.randrange(12)) for _ in range(4))
+    vocabularies = [[word(0x400 + 40 * i) for _ in range(12)] for i in range(40)]
+    rows = [
+        (100 * i + j, " ".join(rng.choice(vocabularies[i]) for _ in range(90)), f"l{i:02}") for i in range(40) for j in range(13 if i < 34 else 12)
+    ]
+    junk = {9000 + i: " ".join("".join(rng.choice("0123456789#%&") for _ in range(4)) for _ in range(90)) for i in (34, 39)}
+    docs = make_docs(rows + [(i, t, f"l{i - 9000}") for i, t in junk.items()])
+    got = quality.judge(docs, ["doc_id", "lang"]).collect()
+    assert len(got) == len(rows) + 2
+    assert not [r for r in got if r.doc_id in junk and r.kept]
+    assert len({(r.lang) for r in got if r.kept}) == 40
+    small = [r for r in got if r.doc_id < 9000 and not r.base_failed]
+    assert sum(r.kept for r in small) >= 0.97 * len(small)
+    centres = {(r.lang, round(r.low + r.high, 9)) for r in got}
+    assert len(centres) >= 40 and len({c for _, c in centres}) == 40
