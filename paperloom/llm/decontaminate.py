@@ -1,12 +1,11 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-A window is as long as a benchmark item.  A window whose shingles share none with any item has similarity 0 to all of them, so
-windows are laid where a shingle of the text is one of an item, aligned with that item.  A shifted window holds no more
-shared shingles than the aligned ones.
-Each window and item gets a 64-bit SimHash of its words.  For fingerprints within ``RADIUS`` bits, at least one of
-``RADIUS + 1`` blocks is the same (pigeonhole), so an equi-join on blocks finds all pairs within the radius.  Pairs are then
-held to the exact similarity of their weighted shingles: the shared weight over the weight of either, a shingle weighing as
-many characters as it has.
+A window is as long as a benchmark item.  Every window of a text is looked at whose words may reach the similarity with an item: the
+shingles of the text that are the item's are joined, and a window whose shared ones, each counted as often as it stands there, weigh
+less than ``SIMILARITY`` of the item cannot reach it.  All others, shifted ones too, are held to the exact similarity of their weighted
+shingles: the shared weight over the weight of either, a shingle weighing as many characters as it has.  So no pair is missed.
+The windows of a text are laid out in stretches as long as the item, so the work follows the length of the text.
+The 64-bit SimHashes of the words tell how far the best window and the item are apart; no pair is dropped for its distance.
 
 Fixed: shingles of five words, similarity 0.8.  The item shingles are broadcast up to ``BROADCAST_GRAMS`` of them, which is
 counted first; beyond that Spark joins them like any table.
@@ -24,9 +23,8 @@ from paperloom.llm.grams import gram_positions, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 15
-BLOCKS = RADIUS + 1
-BLOCK_BITS = 64 // BLOCKS
+#: Bits by which fingerprints of a found pair may differ: all of them.
+RADIUS = 64
 BROADCAST_GRAMS = 500_000
 #: Low bits of a shingle's number that hold its weight.
 WEIGHT = 4095
@@ -63,57 +61,51 @@ def _weight(shingles: Column) -> Column:
     return F.aggregate(shingles, F.lit(0).cast("bigint"), lambda a, s: a + s.bitwiseAND(F.lit(WEIGHT)))
 
 
-def _printed(rows: DataFrame) -> DataFrame:
-    """With the fingerprint and shingles of the column ``part``."""
-    return held(rows, fingerprint=simhash("part"), shingles=weighted_shingles("part")).drop("part")
-
-
-def _blocks(rows: DataFrame) -> DataFrame:
-    values = F.transform(
-        F.sequence(F.lit(0), F.lit(BLOCKS - 1)),
-        lambda i: F.call_function("shiftrightunsigned", F.col("fingerprint"), i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)),
-    )
-    return rows.select("*", F.posexplode(values).alias("block", "value"))
-
-
 def find_passages(docs: DataFrame, items: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns, item_id, first_word, n_words, hamming, similarity: the best window of each row and item it holds."""
-    item_words = held(items.select("item_id", "text"), words=words(F.col("text"))).where(F.size("words") >= SHINGLE)
-    grams = gram_positions(item_words.select("item_id", "words"), SHINGLE)
-    grams = grams.select(F.col("h").alias("g_h"), F.col("pos").alias("t_pos"), F.size("words").alias("span")).distinct()
+    item_words = held(items.select("item_id", "text"), part=words(F.col("text"))).where(F.size("part") >= SHINGLE)
+    known = held(item_words, i_shingles=weighted_shingles("part"), i_fingerprint=simhash("part"))
+    known = known.select("item_id", F.xxhash64("part").alias("item"), F.col("part").alias("words"), "i_shingles", "i_fingerprint")
+    need = _weight(F.col("i_shingles")) * SIMILARITY * (1 - 1e-9)
+    weight = F.length(F.array_join(F.slice("words", F.col("pos") + 1, SHINGLE), ""))
+    grams = gram_positions(known.select("item", "words", need.alias("need")), SHINGLE)
+    grams = grams.select("item", "need", F.size("words").alias("span"), F.col("h").alias("g_h"), F.least(F.lit(WEIGHT), weight).alias("weight")).distinct()
+    known = known.drop("words").withColumnRenamed("item", "i_item")
     if grams.count() <= BROADCAST_GRAMS:
-        grams = F.broadcast(grams)
+        grams, known = F.broadcast(grams), F.broadcast(known)
     own = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)])
     rows = held(docs.select(own.alias("own"), F.monotonically_increasing_id().alias("row"), "text"), words=words(F.col("text"))).drop("text")
     met = gram_positions(rows, SHINGLE).join(grams, F.col("h") == F.col("g_h"))
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("t_pos"), F.size("words") - F.col("span")))
-    windows = met.select("row", "own", "span", start.alias("start"), F.slice("words", start + 1, F.col("span")).alias("part"))
-    windows = _blocks(_printed(windows.groupBy("row", "own", "span", "start", "part").agg(F.lit(1).alias("one")).drop("one")))
-    known = item_words.select("item_id", F.size("words").alias("i_span"), F.col("words").alias("part"))
-    known = _blocks(_printed(known)).select(
-        "item_id", "i_span", F.col("fingerprint").alias("i_fingerprint"), F.col("shingles").alias("i_shingles"),
-        F.col("block").alias("i_block"), F.col("value").alias("i_value"),
-    )
-    pairs = windows.join(
-        known,
-        (F.col("span") == F.col("i_span")) & (F.col("block") == F.col("i_block")) & (F.col("value") == F.col("i_value")),
+    # A window that holds the shingle begins in its own stretch or in the one before.
+    stretch = F.floor(F.col("pos") / F.col("span")).cast("int")
+    met = met.withColumn("stretch", F.explode(F.sequence(F.greatest(F.lit(0), stretch - 1), stretch)))
+    met = met.withColumn("from", F.col("stretch") * F.col("span"))
+    met = met.select(
+        "row", "own", "item", "need", "span", "from", F.size("words").alias("size"),
+        F.struct("pos", "weight").alias("hit"), F.slice("words", F.col("from") + 1, 2 * F.col("span")).alias("near"),
     )
-    differ = F.col("fingerprint").bitwiseXOR(F.col("i_fingerprint"))
-    # A pair is looked at once, in its first equal block.
-    same = [F.shiftrightunsigned(differ, i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) == 0 for i in range(BLOCKS)]
-    first = F.coalesce(*[F.when(s, F.lit(i)) for i, s in enumerate(same)])
-    pairs = pairs.withColumn("hamming", F.bit_count(differ)).where((F.col("hamming") <= RADIUS) & (first == F.col("block")))
+    by = ["row", "own", "item", "need", "span", "from", "size"]
+    near = met.groupBy(*by).agg(F.collect_list("hit").alias("hits"), F.first("near").alias("near"))
+    last = F.least(F.col("from") + F.col("span") - 1, F.greatest(F.lit(0), F.col("size") - F.col("span")))
+    total = lambda hits: F.aggregate(hits, F.lit(0).cast("bigint"), lambda a, x: a + x["weight"])
+    near = near.where((total(F.col("hits")) >= F.col("need")) & (last >= F.col("from")))
+    inside = lambda s: lambda x: (x["pos"] >= s) & (x["pos"] <= s + F.col("span") - SHINGLE)
+    starts = F.filter(F.sequence("from", last), lambda s: total(F.filter("hits", inside(s))) >= F.col("need"))
+    windows = near.select("row", "own", "item", "span", "from", "near", F.explode(starts).alias("start"))
+    windows = windows.select("row", "own", "item", "span", "start", F.slice("near", F.col("start") - F.col("from") + 1, F.col("span")).alias("part"))
+    pairs = held(windows, shingles=weighted_shingles("part")).join(known, F.col("item") == F.col("i_item"))
     shared = held(pairs, both=_weight(F.array_intersect("shingles", "i_shingles")), either=_weight(F.array_union("shingles", "i_shingles")))
     passed = shared.withColumn("similarity", F.col("both") / F.col("either")).where(F.col("similarity") >= SIMILARITY)
     best = passed.groupBy("row", "own", "item_id").agg(
-        F.max(F.struct("similarity", (-F.col("start")).alias("back"), "span", "hamming")).alias("best")
+        F.max(F.struct("similarity", (-F.col("start")).alias("back"), "span", "part", "i_fingerprint")).alias("best")
     )
+    best = held(best.select("*", F.col("best.part").alias("part")), fingerprint=simhash("part"))
     return best.select(
         *[F.col("own")[f"c{i}"].alias(c) for i, c in enumerate(keep)],
         "item_id",
         (-F.col("best.back")).cast("long").alias("first_word"),
         F.col("best.span").cast("long").alias("n_words"),
-        F.col("best.hamming").alias("hamming"),
+        F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("best.i_fingerprint"))).alias("hamming"),
         F.col("best.similarity").alias("similarity"),
     )
 

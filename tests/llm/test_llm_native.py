@@ -156,6 +156,36 @@ def test_passages_equal_brute_force(spark, make_docs):
     assert decontaminate.find_passages(make_docs(rows), benchmark.limit(0), ["doc_id"]).count() == 0
 
 
+def test_every_passage_above_the_similarity_is_found(spark, make_docs):
+    """Items without edge words, with shifted or changed middles, and twice in one text: all pairs, each with its best window."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 9)))
+    items = [[word() for _ in range(rng.choice([5, 9, 16, 40, 100, 200]))] for _ in range(24)]
+    texts = []
+    for i in range(120):
+        item = list(items[i % 24])
+        cut = rng.randint(0, max(0, len(item) // 11))
+        side = rng.randint(0, cut)
+        item = item[side : len(item) - (cut - side)]
+        if i % 5 == 0:
+            item.insert(len(item) // 2, word())
+        texts.append([word() for _ in range(rng.randint(0, 60))] + item * (1 + (i % 17 == 0)) + [word() for _ in range(rng.randint(0, 60))])
+    wanted = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            if set(shingles(text)) & set(shingles(item)):
+                best = max(weighted(text[s : s + len(item)], item) for s in range(max(1, len(text) - len(item) + 1)))
+                if best >= 0.8:
+                    wanted[d, i] = best
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    docs = make_docs([(i, " ".join(t), None) for i, t in enumerate(texts)])
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_passages(docs, benchmark, ["doc_id"]).collect()}
+    assert set(got) == set(wanted) and len(wanted) > 60
+    for key, r in got.items():
+        assert abs(r.similarity - wanted[key]) < 1e-9
+        assert abs(weighted(texts[key[0]][r.first_word : r.first_word + r.n_words], items[key[1]]) - r.similarity) < 1e-9
+
+
 def test_simhash_is_the_majority_of_bits(spark):
     row = spark.createDataFrame([(["a", "b", "c", "c"],)], "part array<string>")
     hashes = row.select(F.transform("part", lambda w: F.xxhash64(w)).alias("h")).first().h
