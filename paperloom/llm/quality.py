@@ -7,7 +7,8 @@ whole: a task that scores texts gathers the distinct n-grams of about ``BLOCK``
 their languages, one slice at a time.
 
 A text is scored by the counts of the other folds: every n-gram has ``FOLDS`` estimates, each without the counts of one fold, and equal texts
-are in one fold.  Otherwise rare contexts, which junk consists of, would foretell themselves.
+are in one fold.  Otherwise rare contexts, which junk consists of, would foretell themselves.  The log perplexity is the sum over all
+characters for each letter or digit, so that marks strewn between words, which are easily foretold, do not lower it.
 
 Every language has its own model and band, however many there are.  Its band of log perplexity lies ``BAND`` interquartile ranges beyond its
 quartiles, over all texts that pass the base rules, and is wider for short texts, whose mean varies more: by the root of
@@ -45,6 +46,14 @@ LEAST_WORDS = 50
 MOST_REPEATED = 0.5
 SYMBOLS = b"#*$%&|<>"
 _LEAST = 1e-12
+_TABLE: list[np.ndarray] = []
+
+
+def _alphanumeric() -> np.ndarray:
+    """Whether each code point is a letter or digit."""
+    if not _TABLE:
+        _TABLE.append(np.fromiter((chr(c).isalnum() for c in range(0x110000)), bool, 0x110000))
+    return _TABLE[0]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -257,17 +266,20 @@ def log_perplexities(files: list[str], batches: list[pa.RecordBatch]) -> list[np
             if text:
                 groups.setdefault(models[i], []).append(i)
         for model, some in groups.items():
-            distinct, place = np.unique(text_hashes([texts[i] for i in some])[2], return_inverse=True)
+            points, _, hashes = text_hashes([texts[i] for i in some])
+            distinct, place = np.unique(hashes, return_inverse=True)
             sizes = np.array([len(texts[i]) for i in some])
-            parts.append((b, model, np.array(some), sizes, np.array([folds[i] for i in some]), distinct, place.astype(np.int32)))
+            begins = np.cumsum(sizes + ORDER - 1) - sizes - ORDER + 1
+            signs = np.maximum(1, np.add.reduceat(_alphanumeric()[points], begins, dtype=np.int64))
+            parts.append((b, model, np.array(some), sizes, signs, np.array([folds[i] for i in some]), distinct, place.astype(np.int32)))
             wanted.setdefault(model, []).append(distinct)
     keys = {m: np.unique(np.concatenate(h)) for m, h in wanted.items()}
     found = look_up(files, keys) if keys else {}
     out = [np.zeros(batch.num_rows) for batch in batches]
-    for b, model, some, sizes, folds, distinct, place in parts:
+    for b, model, some, sizes, signs, folds, distinct, place in parts:
         logs = found[model][:, np.searchsorted(keys[model], distinct)].astype(np.float64)
         values = logs[np.repeat(folds, sizes), place]
-        out[b][some] = -np.add.reduceat(values, np.cumsum(sizes) - sizes) / sizes
+        out[b][some] = -np.add.reduceat(values, np.cumsum(sizes) - sizes) / signs
     return out
 
 

@@ -220,6 +220,14 @@ def test_model_tells_characters_apart_and_grows(spark, make_docs):
         assert table.count() == table.select("h").distinct().count() == len(grams)
 
 
+def test_marks_behind_words_raise_the_perplexity(make_docs):
+    rng = random.Random(15)
+    rows = [(i, sentence("en", 120, rng), "en") for i in range(100)]
+    strewn = [" ".join(w + rng.choice("#$%&") * 3 for w in sentence("en", 120, rng).split()) for _ in range(5)]
+    got = {r.doc_id: r for r in quality.judge(make_docs(rows + [(900 + i, t, "en") for i, t in enumerate(strewn)]), ["doc_id"]).collect()}
+    assert not any(got[900 + i].kept for i in range(5)) and sum(got[i].kept for i in range(100)) >= 98
+
+
 def test_scores_leave_out_the_own_text(make_docs):
     """Random characters do not foretell themselves; copies do not either."""
     rng = random.Random(13)
