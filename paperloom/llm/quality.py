@@ -36,7 +36,7 @@ FOLDS = 4
 BLOCK = 1 << 24
 SLICE = 1 << 18
 #: Entries that a counting task holds before it passes them on.
-HELD = 1 << 21
+HELD = 1 << 19
 #: The small alphabet of ``kneser_ney``, the estimates over a full array.
 CLASSES = 32
 GRAMS = CLASSES**4
