@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm import bpe, chat, decontaminate, jaccard, langid, licenses, quality, shards, tokenbin, warc
+from paperloom.llm import (
+    bpe,
+    chat,
+    counts,
+    decontaminate,
+    jaccard,
+    langid,
+    licenses,
+    phrases,
+    quality,
+    shards,
+    tokenbin,
+    warc,
+    whiten,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -113,6 +127,23 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"), ["doc_id"])
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), ["vec_id"])
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, words = phrases.count_phrases(_table(spark, sf_dir, "documents", "text", "lang"))
+    best = phrases.best_collocations(phrases.score_collocations(found, words))
+    return best.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text").select("*", n_bytes)
+    counted = counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), ["doc_id", "n_bytes"])
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": benchmark_decontamination,
     "op2_language_id": language_id,
@@ -124,4 +155,7 @@ QUERIES = {
     "op8_license_scan": license_scan,
     "op9_quality_rules": quality_rules,
     "op10_jaccard_join": jaccard_join,
+    "op11_embedding_whitening": embedding_whitening,
+    "op12_phrase_collocations": phrase_collocations,
+    "op13_token_counts": token_counts,
 }

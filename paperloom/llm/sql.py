@@ -73,4 +73,32 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM payload LEFT JOIN first USING (payload_digest)
 """
 
-ORACLES = {"op3_chat_formatting": CHAT, "op7_warc": WARC, "op8_license_scan": LICENSES}
+PHRASES = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lines AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+words AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lines GROUP BY lang),
+grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM lines, unnest(range(1, 6)) AS u(m), unnest(range(1, greatest(len(w) - m + 2, 1))) AS v(i)),
+counted AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE m > 1),
+held AS (
+  SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN candidates o
+    ON c.lang = o.lang AND o.m > c.m AND 100 * o.f >= 100 * c.f AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ')),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM candidates, unnest(range(1, m)) AS u(k)
+  WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM held)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, n,
+    CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts JOIN counted x ON x.lang = cuts.lang AND x.phrase = cuts.first
+    JOIN counted y ON y.lang = cuts.lang AND y.phrase = cuts.rest JOIN words ON words.lang = cuts.lang),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
+ORACLES = {"op3_chat_formatting": CHAT, "op7_warc": WARC, "op8_license_scan": LICENSES, "op12_phrase_collocations": PHRASES}
