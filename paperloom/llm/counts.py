@@ -1,12 +1,12 @@
 """Token counts of texts without their token ids.
 
 Each block of texts (about ``BLOCK_BYTES``) is cut into pre-tokens.  Per document only the frequencies of its distinct
-pre-tokens are kept, as places in a list of the block's distinct pre-tokens.  These lists are shuffled by pre-token, so that
-the tokenizer library meets every distinct pre-token of the corpus once and only its number of pieces goes
-on.  The numbers return to their blocks, where they are joined to the frequencies and summed.
+pre-tokens are kept, as places in a list of the block's distinct pre-tokens.  These lists are dealt into buckets by a hash of the pre-token and
+shuffled by bucket, so that the tokenizer library meets every distinct pre-token of the corpus once and only its number of
+pieces goes on.  The numbers return to their blocks, where they are joined to the frequencies and summed.
 
-A pre-token that is in every document is in the shuffle once per block, never once per document, and what a task
-holds is one block.  The cut texts are written once to the shared folder; nothing is collected or broadcast but
+A pre-token that is in every document is in the shuffle once per block, never once per document.  What a task holds is one block, or the distinct
+pre-tokens of one bucket; there are the more buckets the more partitions the texts have.  The cut texts are written once to the shared folder; nothing is collected or broadcast but
 the tokenizer's file.
 
 Defined results: a null or empty text has 0 tokens; a string of a special token inside a text is one token, as
@@ -18,9 +18,11 @@ columns of any name do not matter.
 from __future__ import annotations
 
 import json
+import math
 import os
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +30,11 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from paperloom.llm.arrow import chunks, get_file, small_batches, stretches
+from paperloom.llm.arrow import chunks, enter, get_file, small_batches, stretches
 from paperloom.llm.common import stage
 
 #: Text whose pre-tokens are listed together.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # Fixed value: how byte-level tokenizers cut a text before merging.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -111,8 +113,8 @@ class PreTokens:
         return [chunk[a:b] for _, (a, b) in self.library.pre_tokenize_str(chunk)]
 
 
-def frequencies(texts: list[str], cutter: PreTokens) -> tuple[list[str], list[bytes]]:
-    """The distinct pre-tokens of some texts; per text its (place in that list, times), ascending, as bytes."""
+def frequencies(texts: list[str], cutter: PreTokens, buckets: int = 1) -> tuple[list[list[bytes]], list[bytes]]:
+    """The distinct pre-tokens of some texts by bucket; per text its (place in that order, times), ascending, as bytes."""
     places: dict[str, int] = {}
     known: dict[str, int] = {}
     spans: list[list[int]] = []
@@ -126,11 +128,18 @@ def frequencies(texts: list[str], cutter: PreTokens) -> tuple[list[str], list[by
         times.append(np.fromiter(met.values(), np.int64, len(met)))
         sizes.append(len(met))
     if not spans:
-        return [], [b""] * len(texts)
+        return [[] for _ in range(buckets)], [b""] * len(texts)
+    pieces = [p.encode() for p in places]
+    bucket = np.fromiter((crc32(p) % buckets for p in pieces), np.int64, len(pieces))
+    by_bucket = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(pieces), np.int64)
+    rank[by_bucket] = np.arange(len(pieces))
+    edges = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1)).tolist()
+    dealt = [[pieces[i] for i in by_bucket[a:b]] for a, b in zip(edges[:-1], edges[1:])]
     # Chunks become the pre-tokens in them; equal ones of a text are added up.
     width = np.array([len(s) for s in spans])
     first = np.cumsum(width) - width
-    flat = np.fromiter((p for s in spans for p in s), np.int64, int(width.sum()))
+    flat = rank[np.fromiter((p for s in spans for p in s), np.int64, int(width.sum()))]
     chunk, count = np.concatenate(held), np.concatenate(times)
     owner = np.repeat(np.arange(len(texts)), sizes)
     n = width[chunk]
@@ -149,7 +158,7 @@ def frequencies(texts: list[str], cutter: PreTokens) -> tuple[list[str], list[by
     ends = np.concatenate([[0], ends])
     edge = ends[2 * np.searchsorted(owner, np.arange(len(texts) + 1))]
     whole = data.tobytes()
-    return list(places), [whole[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
+    return dealt, [whole[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
 
 
 def add_up(parts: list[bytes], sizes: np.ndarray) -> np.ndarray:
@@ -175,35 +184,38 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, keep: list[str], into: st
     names = [f"_k{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], F.col("text").alias("_text"))
     kept = [T.StructField(n, rows.schema[n].dataType) for n in names]
-    block_of = T.StructField("_block", T.LongType())
+    buckets = 32 * math.isqrt(max(1, docs.rdd.getNumPartitions()))
     cut_schema = T.StructType(
-        [block_of, *kept, T.StructField("_times", T.BinaryType())]
-        + [T.StructField("_place", T.IntegerType()), T.StructField("_piece", T.StringType())]
+        [T.StructField("_block", T.LongType()), *kept, T.StructField("_times", T.BinaryType())]
+        + [T.StructField("_bucket", T.IntegerType())]
+        + [T.StructField(c, T.BinaryType()) for c in ("_lengths", "_letters")]
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("counts")
         cutter = PreTokens(file.value.decode())
         block = TaskContext.get().partitionId() << 32
         for batch in small_batches(batches, "_text", BLOCK_BYTES, 1 << 16):
-            pieces, times = frequencies([t or "" for t in batch.column("_text").to_pylist()], cutter)
-            n, m = batch.num_rows, len(pieces)
+            dealt, times = frequencies([t or "" for t in batch.column("_text").to_pylist()], cutter, buckets)
+            n = batch.num_rows
             columns = [batch.column(c) for c in names]
+            none = [pa.nulls(n, t) for t in (pa.int32(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, block)), *columns, pa.array(times, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())],
+                [pa.array(np.full(n, block)), *columns, pa.array(times, pa.binary()), *none], names=cut_schema.names
+            )
+            used = [i for i, pieces in enumerate(dealt) if pieces]
+            lengths = [pack_numbers(np.array([len(p) for p in dealt[i]]))[0].tobytes() for i in used]
+            letters = [b"".join(dealt[i]) for i in used]
+            m = len(used)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(m, block)), *[pa.nulls(m, c.type) for c in columns], pa.nulls(m, pa.binary())]
+                + [pa.array(used, pa.int32()), pa.array(lengths, pa.binary()), pa.array(letters, pa.binary())],
                 names=cut_schema.names,
             )
-            for i in range(0, m, 1 << 16):
-                part = pa.array(pieces[i : i + (1 << 16)], pa.string())
-                k = len(part)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(k, block)), *[pa.nulls(k, c.type) for c in columns], pa.nulls(k, pa.binary())]
-                    + [pa.array(np.arange(i, i + k, dtype=np.int32)), part],
-                    names=cut_schema.names,
-                )
             block += 1
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pieces per pre-token; equal pre-tokens come one after the other."""
+        """Pieces per pre-token; the lists of a bucket come one after the other."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -211,33 +223,38 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, keep: list[str], into: st
         library.no_truncation()
         library.no_padding()
         library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        before: tuple[str | None, int] = (None, 0)
+        current, known = None, {}
         for batch in batches:
-            found = batch.column("_piece").dictionary_encode()
-            words = found.dictionary.to_pylist()
-            sizes = [before[1] if w == before[0] else -1 for w in words]
-            fresh = [i for i, s in enumerate(sizes) if s < 0]
-            for i in range(0, len(fresh), 4096):
-                some = fresh[i : i + 4096]
-                for j, e in zip(some, library.encode_batch_fast([words[j] for j in some], add_special_tokens=False)):
-                    sizes[j] = len(e)
-            if words:
-                before = words[-1], sizes[-1]
-            n = np.array(sizes, np.int32)[found.indices.to_numpy()]
-            yield pa.RecordBatch.from_arrays([batch.column("_block"), batch.column("_place"), pa.array(n)], names=["_block", "_place", "_n"])
+            blocks, own, lengths, letters = (batch.column(c).to_pylist() for c in ("_block", "_bucket", "_lengths", "_letters"))
+            out = []
+            for bucket, sizes, data in zip(own, lengths, letters):
+                if bucket != current:
+                    current, known = bucket, {}
+                ends = np.cumsum(unpack_numbers(np.frombuffer(sizes, np.uint8))[0]).tolist()
+                pieces = [data[a:b] for a, b in zip([0, *ends], ends)]
+                fresh = [p for p in pieces if p not in known]
+                for i in range(0, len(fresh), 4096):
+                    some = fresh[i : i + 4096]
+                    found = library.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
+                    known.update(zip(some, map(len, found)))
+                numbers = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+                out.append(pack_numbers(numbers)[0].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_block"), batch.column("_bucket"), pa.array(out, pa.binary())], names=["_block", "_bucket", "_sizes"]
+            )
 
     out_schema = T.StructType([*kept, T.StructField("_sum", T.LongType())])
 
     def total(texts: pa.Table, pieces: pa.Table) -> pa.Table:
-        sizes = np.zeros(pieces.num_rows, np.int64)
-        sizes[pieces.column("_place").to_numpy()] = pieces.column("_n").to_numpy()
+        by_bucket = pieces.sort_by("_bucket").column("_sizes").to_pylist()
+        sizes, _ = unpack_numbers(np.frombuffer(b"".join(by_bucket), np.uint8))
         sums = add_up(texts.column("_times").to_pylist(), sizes)
         return pa.table([*[texts.column(c) for c in names], pa.array(sums, pa.int64())], names=out_schema.names)
 
     made = stage(rows.mapInArrow(cut, cut_schema), "pre-tokens")
-    listed = made.where(F.col("_piece").isNotNull()).select("_block", "_place", "_piece")
-    sorted_ = listed.repartition("_piece").sortWithinPartitions("_piece")
-    sized = sorted_.mapInArrow(size, "_block bigint, _place int, _n int")
-    texts = made.where(F.col("_piece").isNull()).select("_block", *names, "_times")
+    listed = made.where(F.col("_bucket").isNotNull()).select("_block", "_bucket", "_lengths", "_letters")
+    by_bucket = listed.repartition("_bucket").sortWithinPartitions("_bucket")
+    sized = by_bucket.mapInArrow(size, "_block bigint, _bucket int, _sizes binary")
+    texts = made.where(F.col("_bucket").isNull()).select("_block", *names, "_times")
     summed = texts.groupBy("_block").cogroup(sized.groupBy("_block")).applyInArrow(total, out_schema)
     return summed.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("_sum").alias(into))
