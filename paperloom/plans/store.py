@@ -41,17 +41,20 @@ def latest_changes(changes: DataFrame) -> DataFrame:
     )
 
 
-def apply_changes(base: DataFrame, changes: DataFrame) -> DataFrame:
+def apply_changes(base: DataFrame, changes: DataFrame, buckets: int | None = None) -> DataFrame:
     """Upsert: for every paper the row of the newest run, from the base or from the changes.
 
     Base rows without a change are only filtered against the changed ids.  Spark broadcasts
-    those when their size allows it, and then the base is not shuffled at all.
+    those when their size allows it, and then the base is not shuffled at all.  With ``buckets`` the newest
+    rows of changed papers lie in so many parts by the hash of their id, as in a bucketed base.
     """
     ids = changes.select("paper_id").distinct()
     kept = base.join(ids, "paper_id", "left_anti")
     # A run that was finished late may be older than the base row.
     touched = base.join(ids, "paper_id", "left_semi").select(*changes.columns)
     newest = latest_changes(changes.unionByName(touched))
+    if buckets:
+        newest = newest.repartition(buckets, "paper_id")
     return kept.select(*newest.columns).unionByName(newest)
 
 
