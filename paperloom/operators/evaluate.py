@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paperloom.config import FilterConfig
 from paperloom.operators.score import is_relevant, with_scores
@@ -36,6 +36,35 @@ def label_confusion(scored: DataFrame, truth: DataFrame, is_positive: Column) ->
     )
 
 
+def threshold_curve(scored: DataFrame, truth: DataFrame, is_positive: Column) -> DataFrame:
+    """Precision and recall of calling a paper relevant from each score on, highest first.
+
+    One pass makes a histogram of positives and negatives by score; running sums over it, with one row per distinct score, give
+    every threshold.  ``recall`` is null without positives.
+    """
+    judged = scored.select("paper_id", "score").join(truth.select("paper_id", is_positive.alias("positive")), "paper_id")
+    histogram = judged.groupBy("score").agg(
+        F.count_if("positive").alias("positives"), F.count_if(~F.col("positive")).alias("negatives")
+    )
+    from_top = Window.orderBy(F.desc("score"))
+    hits, misses = F.sum("positives").over(from_top), F.sum("negatives").over(from_top)
+    total = F.sum("positives").over(Window.partitionBy())
+    rows = histogram.select(
+        F.col("score").alias("threshold"),
+        hits.alias("true_positives"),
+        misses.alias("false_positives"),
+        (total - hits).alias("false_negatives"),
+    )
+    called = F.col("true_positives") + F.col("false_positives")
+    positives = F.col("true_positives") + F.col("false_negatives")
+    return rows.withColumns(
+        {
+            "precision": F.col("true_positives") / called,
+            "recall": F.when(positives > 0, F.col("true_positives") / positives),
+        }
+    )
+
+
 def config_diff(papers: DataFrame, old: FilterConfig, new: FilterConfig) -> DataFrame:
     """Label transitions between two configs, both scored in one scan."""
     needed = papers.select("title", "summary", "primary_category")

@@ -113,7 +113,11 @@ def match_terms(
     exactly one element: the texts are lowered once per paper rather than once per
     term, and no later filter on a score can pull a second search below it.
     """
-    entries = term_entries(config, tiers)
+    return match_entries(papers, term_entries(config, tiers), into)
+
+
+def match_entries(papers: DataFrame, entries: dict[str, TermEntry], into: str = "term_hits") -> DataFrame:
+    """``match_terms`` for terms that are already looked up."""
     texts = F.array(
         F.struct(
             F.lower(F.coalesce(F.col("title"), F.lit(""))).cast("binary").alias("title"),
@@ -129,22 +133,27 @@ def match_terms(
     )
     title = F.col(f"{into}.title")
     summary_only = F.array_except(F.col(f"{into}.summary"), title)
-    hits = F.concat(_described(title, "title", entries), _described(summary_only, "summary", entries))
-    return papers.select("*", F.explode(found).alias(into)).withColumn(into, hits)
+    placed = F.concat(_placed(title, "title"), _placed(summary_only, "summary"))
+    return papers.select("*", F.explode(found).alias(into)).withColumn(into, describe_hits(placed, entries))
+
+
+def _placed(words: Column, place: str) -> Column:
+    return F.transform(words, lambda word: F.struct(word.alias("term"), F.lit(place).alias("place")))
 
 
-def _described(words: Column, place: str, entries: dict[str, TermEntry]) -> Column:
+def describe_hits(placed: Column, entries: dict[str, TermEntry]) -> Column:
+    """Hits (term, place) with what the terms stand for."""
     lookup = constant({term: asdict(entry) for term, entry in entries.items()}, f"map<string,{_ENTRY}>")
 
-    def described(word: Column) -> Column:
-        entry = lookup[word]
+    def described(hit: Column) -> Column:
+        entry = lookup[hit["term"]]
         return F.struct(
-            word.alias("term"),
+            hit["term"].alias("term"),
             *[entry[name].alias(name) for name in ("tiers", "title_points", "summary_points", "chunks")],
-            F.lit(place).alias("place"),
+            hit["place"].alias("place"),
         )
 
-    return F.transform(words, described)
+    return F.transform(placed, described)
 
 
 def on_tier(hit: Column, *tiers: str) -> Column:
