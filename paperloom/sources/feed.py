@@ -8,7 +8,7 @@ the arrival order that decides which duplicate wins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from paperloom import defaults, schemas
@@ -16,8 +16,15 @@ from paperloom.functions.text import compact_whitespace, paper_id_from_url, pdf_
 
 PAGE_COLUMNS = ["source_ordinal", "source_name", "page_start"]
 
+FEED_OPTIONS = {
+    "ignoreNamespace": "true",
+    "ignoreSurroundingSpaces": "false",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "_bad",
+}
+
 # A child element inside a title or summary: text before it, the rest, the closing tag.
-_INLINE_MARKUP = (
+INLINE_MARKUP = (
     r"(?s)(<(?:\w+:)?(title|summary)(?:\s[^<>]*)?(?<!/)>"
     r"[^<]*+(?:(?:<!--.*?-->|<!\[CDATA\[.*?\]\]>)[^<]*+)*+)"
     r"<(?!/).*?(</(?:\w+:)?\2\s*>)"
@@ -37,27 +44,23 @@ def feed_page_stream(spark: SparkSession) -> DataStreamReader:
     )
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
+def parse_pages(pages: DataFrame, *further: str) -> DataFrame:
     """Declared total and raw entries of every page; unreadable pages stay, flagged.
 
     Text of a title or summary ends at its first child element.  The parsed page
     comes out of a one-element ``explode``, so filters on it never parse twice.
+    ``further`` columns of the pages are kept.
     """
-    options = {
-        "ignoreNamespace": "true",
-        "ignoreSurroundingSpaces": "false",
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": "_bad",
-    }
     page = F.from_xml(
-        F.regexp_replace("value", _INLINE_MARKUP, "$1$3"), schemas.FEED_XML, options
+        F.regexp_replace("value", INLINE_MARKUP, "$1$3"), schemas.FEED_XML, FEED_OPTIONS
     )
     blank = F.trim(F.coalesce(F.col("value"), F.lit(""))) == ""
     return (
-        pages.select(*PAGE_COLUMNS, "value", F.explode(F.array(page)).alias("page"))
+        pages.select(*PAGE_COLUMNS, *further, "value", F.explode(F.array(page)).alias("page"))
         .withColumn("corrupt", blank | F.col("page").isNull() | F.col("page._bad").isNotNull())
         .select(
             *PAGE_COLUMNS,
+            *further,
             "corrupt",
             F.when(F.col("corrupt"), F.col("value")).alias("raw_page"),
             F.when(
@@ -94,7 +97,7 @@ def skip_reason(record: dict[str, Column]) -> Column:
     )
 
 
-def _fields(entry: Column) -> dict[str, Column]:
+def paper_fields(entry: Column) -> dict[str, Column]:
     """The fields of a paper out of a raw entry."""
     abs_url = _first_text(entry["id"])
     strings = "array<string>"
@@ -124,21 +127,22 @@ def _fields(entry: Column) -> dict[str, Column]:
     }
 
 
-def page_entries(parsed: DataFrame) -> DataFrame:
+def page_entries(parsed: DataFrame, *further: str) -> DataFrame:
     """One paper row per entry with its position and, if invalid, the reason."""
-    rows = parsed.select(*PAGE_COLUMNS, F.posexplode("entries").alias("pos", "entry"))
-    columns = _fields(F.col("entry"))
+    rows = parsed.select(*PAGE_COLUMNS, *further, F.posexplode("entries").alias("pos", "entry"))
+    columns = paper_fields(F.col("entry"))
     placed = rows.select(
-        *PAGE_COLUMNS, "pos", *[columns[c].alias(c) for c in schemas.PAPER_COLUMNS]
+        *PAGE_COLUMNS, *further, "pos", *[columns[c].alias(c) for c in schemas.PAPER_COLUMNS]
     )
     return placed.withColumn(
         "skip_reason", skip_reason({c: F.col(c) for c in schemas.PAPER_COLUMNS})
     )
 
 
-def valid_papers(entries: DataFrame) -> DataFrame:
+def valid_papers(entries: DataFrame, *further: str) -> DataFrame:
     """Candidate rows: valid entries with their source as a one-name array."""
     return entries.filter(F.col("skip_reason").isNull()).select(
+        *further,
         *schemas.ARRIVAL_COLUMNS,
         *schemas.PAPER_COLUMNS,
         F.array("source_name").alias("sources"),
@@ -160,7 +164,7 @@ def quarantine(parsed: DataFrame) -> DataFrame:
         return F.struct(pos.alias("pos"), abs_url.alias("abs_url"), reason.alias("reason"))
 
     def of_entry(entry: Column, pos: Column) -> Column:
-        fields = _fields(entry)
+        fields = paper_fields(entry)
         return refused(pos, fields["abs_url"], skip_reason(fields))
 
     none = F.lit(None)
@@ -205,3 +209,29 @@ def ingest_completeness(
             "complete": ~gap & (F.col("landed_entries") >= F.col("declared_total")),
         }
     )
+
+
+def missing_page_ranges(parsed: DataFrame, page_size: int = defaults.FEED_PAGE_SIZE) -> DataFrame:
+    """Per source the ranges of pages that its declared total calls for and that did not land readable.
+
+    A range goes from the first to the last missing page start.  Ranges are the gaps between neighbouring pages that
+    landed, with the ends of the source as neighbours too, so a source without a single page costs one row.
+    """
+    source = ["source_name", "source_ordinal"]
+    per_page = parsed.groupBy(*source, "page_start").agg(
+        F.max("declared_total").alias("declared_total"), (~F.bool_and("corrupt")).alias("readable")
+    )
+    totals = per_page.groupBy(*source).agg(F.coalesce(F.max("declared_total"), F.lit(0).cast("long")).alias("_total"))
+    end = F.ceil(F.col("_total") / page_size).cast("long") * page_size
+    edges = totals.select(*source, "_total", F.explode(F.array(F.lit(-page_size).cast("long"), end)).alias("page_start"))
+    on_grid = F.col("readable") & (F.col("page_start") % page_size == 0) & (F.col("page_start") >= 0)
+    landed = per_page.filter(on_grid).join(totals, source).filter(F.col("page_start") < F.col("_total"))
+    known = landed.select(*edges.columns).unionByName(edges)
+    following = F.lead("page_start").over(Window.partitionBy(*source).orderBy("page_start"))
+    gaps = known.withColumn("_next", following).filter(F.col("_next") - F.col("page_start") > page_size)
+    return gaps.select(
+        *source,
+        (F.col("page_start") + page_size).alias("first_missing"),
+        (F.col("_next") - page_size).alias("last_missing"),
+        F.floor((F.col("_next") - F.col("page_start")) / page_size - 1).cast("long").alias("pages"),
+    )
