@@ -26,7 +26,7 @@ from paperloom.operators.windows import (
     month_windows,
     single_window,
 )
-from paperloom.plans import exports
+from paperloom.plans import exports, single
 from paperloom.plans.staging import staging
 from paperloom.plans.store import Claim, PaperStore
 
@@ -118,17 +118,19 @@ def record(
     out_dir: str | None = None,
     heading: str = exports.DIGEST_HEADING,
     skipped: DataFrame | None = None,
+    single_files: bool = False,
 ) -> None:
     """Store relevant papers, write exports of all rows, log what was skipped, run papers and runs.
 
     ``scored`` carries ``window_slug`` and ``window_ordinal``; ``windows`` is the short
-    table of windows.
+    table of windows.  ``single_files`` makes one file of each export of a window instead of ordered parts.
     """
     now = collected_at or utc_now()
     rows = scored.withColumn("run_id", F.col("window_ordinal") + claim.run_id)
     store.upsert(relevant(rows).withColumn("latest_seen_at", F.lit(now)), claim)
     if out_dir:
-        exports.write_exports(scored, windows, out_dir, heading)
+        write = single.write_single_exports if single_files else exports.write_exports
+        write(scored, windows, out_dir, heading)
     if skipped is not None:
         store.record_quarantine(skipped.withColumn("run_id", F.lit(claim.run_id).cast("long")), claim)
     store.record_run_papers(rows, claim)
