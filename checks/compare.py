@@ -30,6 +30,7 @@ TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
     "boolean": "BOOLEAN",
+    "double": "DOUBLE",
     "date": "DATE",
 }
 

@@ -191,6 +191,27 @@ def _confusion(condition: str) -> str:
     return f"count(*) FILTER ({condition})"
 
 
+DIGEST_BODY = f"""
+SELECT window_slug, CASE label WHEN 'core' THEN 1 ELSE 3 END AS section, 0 AS seq,
+  '- [' || title || '](' || abs_url || ') | ' || paper_id AS line, published, paper_id
+FROM (SELECT *, {week_sql("d")} FROM year) WHERE label <> 'unlikely'
+UNION ALL
+SELECT c.window_slug, x.section, x.seq,
+  CASE x.seq
+    WHEN 0 THEN '# Paper Digest (' || c.window_start || ' to ' || c.window_end || ')'
+    WHEN 2 THEN '- Core papers: ' || c.core
+    WHEN 3 THEN '- Adjacent papers: ' || c.adjacent
+    WHEN 4 THEN '- Other candidates included in this digest only: ' || c.unlikely
+    WHEN 6 THEN '## Core' WHEN 10 THEN '## Adjacent'
+    WHEN 8 THEN '- None' WHEN 12 THEN '- None' ELSE '' END, '', ''
+FROM (
+  SELECT w.window_slug, w.window_start, w.window_end, count(*) FILTER (y.label = 'core') AS core,
+    count(*) FILTER (y.label = 'adjacent') AS adjacent, count(*) FILTER (y.label = 'unlikely') AS unlikely
+  FROM weeks w LEFT JOIN (SELECT label, {week_sql("d")} FROM year) y ON w.window_slug = y.window_slug
+  GROUP BY ALL) c,
+  (SELECT unnest(range(13))::INT AS seq, unnest([0,0,0,0,0,0,0,0,1,2,2,2,3])::INT AS section) x
+WHERE (x.seq <> 8 OR c.core = 0) AND (x.seq <> 12 OR c.adjacent = 0)"""
+
 ORACLES = {
     "feed_ingest": with_papers(
         """SELECT source_ordinal, page_start,
@@ -198,6 +219,15 @@ ORACLES = {
   paper_id, title, summary, published, updated, primary_category,
   array_to_string(categories, '|') AS categories, array_to_string(authors, '|') AS authors,
   abs_url, pdf_url, source_name AS sources
+FROM feed_rows""",
+        FEED_CTE,
+    ),
+    "feed_entries_streamed": with_papers(
+        """SELECT source_ordinal, page_start,
+  CAST(row_number() OVER (PARTITION BY source_ordinal, page_start ORDER BY CAST(paper_id AS BIGINT)) - 1 AS INT) AS pos,
+  paper_id, title, summary, published, updated, primary_category,
+  array_to_string(categories, '|') AS categories, array_to_string(authors, '|') AS authors,
+  abs_url, pdf_url, source_name AS sources
 FROM feed_rows""",
         FEED_CTE,
     ),
@@ -218,6 +248,21 @@ FROM (
               UNION ALL SELECT DISTINCT CAST(doc_id // 400 AS INT), 400, 0 FROM documents WHERE doc_id // 400 % 2 = 0) p
         JOIN (SELECT doc_id // 400 AS source, count(*) AS total FROM documents GROUP BY 1) t ON p.source = t.source)))
   GROUP BY source HAVING sum(copies) > 0)"""
+    ),
+    "missing_page_ranges": with_papers(
+        """SELECT 'range:' || source AS source_name, source AS source_ordinal, min(start) AS first_missing,
+  max(start) AS last_missing, count(*) AS pages
+FROM (
+  SELECT source, start, start // 50 - row_number() OVER (PARTITION BY source ORDER BY start) AS island
+  FROM (
+    SELECT source, start, source * 9 + start // 50 AS b
+    FROM (SELECT CAST(doc_id // 400 AS INT) AS source, count(*) AS total FROM documents GROUP BY 1),
+      unnest(generate_series(0, total - 1, 50)) AS u(start))
+  WHERE b % 7 = 3 OR b % 11 = 5)
+WHERE source IN (
+  SELECT CAST(doc_id // 400 AS INT) FROM documents GROUP BY doc_id // 400, doc_id % 400 // 50
+  HAVING (doc_id // 400 * 9 + doc_id % 400 // 50) % 7 <> 3)
+GROUP BY source, island"""
     ),
     "quarantined_pages": with_papers(
         "SELECT source_ordinal, source_name, page_start FROM feed_pages WHERE corrupt", FEED_CTE
@@ -325,6 +370,14 @@ WHERE CAST(replace(published, 'Z', '') AS TIMESTAMP) BETWEEN TIMESTAMP '2024-01-
 FROM papers p JOIN tagged t ON p.paper_id = t.paper_id""",
         candidate_ctes("true"),
     ),
+    "streamed_merge": with_papers(
+        """SELECT p.paper_id, p.title, p.published, p.abs_url || '.' || e.source_ordinal AS abs_url, t.sources
+FROM papers p JOIN tagged t ON p.paper_id = t.paper_id
+JOIN (SELECT paper_id, source_ordinal, row_number() OVER (
+    PARTITION BY paper_id ORDER BY source_ordinal % 4, source_ordinal) AS rn FROM every) e
+  ON e.paper_id = p.paper_id AND e.rn = 1""",
+        candidate_ctes("true"),
+    ),
     "merge_table_copies": with_papers(
         """SELECT split_part(s.paper_id, '#', 1) AS paper_id, s.title, array_to_string(s.categories, '|') AS categories,
   s.score, s.label, u.sources
@@ -369,6 +422,20 @@ FROM scored""",
         "SELECT paper_id, title, score, label FROM scored WHERE score >= 3", SCORES
     ),
     "term_matches": with_papers("SELECT DISTINCT paper_id, tier, term, place FROM hits", SCORES),
+    "many_term_matches": with_papers(
+        """SELECT p.paper_id, t.term, CASE WHEN contains(title, term) THEN 'title' ELSE 'summary' END AS place
+FROM (SELECT paper_id, lower(title) AS title, lower(summary) AS summary FROM papers) p
+JOIN (SELECT DISTINCT lower(substr(summary, 1 + (n * 7 + k * 61) % 400, 8 + (n + k) % 9)) AS term
+      FROM (SELECT summary, CAST(paper_id AS BIGINT) AS n FROM papers), unnest(range(12)) AS u(k)) t
+  ON term <> '' AND (contains(title, term) OR contains(summary, term))"""
+    ),
+    "score_indexed": with_papers(
+        "SELECT s.paper_id, s.score, s.label, coalesce(r.reasons, '') AS reasons "
+        "FROM scored s LEFT JOIN reasons r ON s.paper_id = r.paper_id",
+        SCORES,
+        REASONS,
+    ),
+    "rescore_delta": with_papers("SELECT paper_id, score, label FROM scored", score_ctes(OTHER_CONFIG)),
     "context_gated_terms": with_papers(
         """SELECT p.paper_id, g.term, string_agg(g.context, '|' ORDER BY g.ordinal) AS contexts
 FROM (SELECT paper_id, lower(title) AS t, lower(summary) AS s FROM papers) p JOIN gates g
@@ -470,26 +537,20 @@ FROM (SELECT *, {week_sql("d")} FROM year)""",
         "SELECT paper_id, published, row_number() OVER (ORDER BY published DESC, paper_id DESC) AS position FROM papers"
     ),
     "digest_lines": with_papers(
-        f"""
-SELECT window_slug, CASE label WHEN 'core' THEN 1 ELSE 3 END AS section, 0 AS seq,
-  '- [' || title || '](' || abs_url || ') | ' || paper_id AS line, published, paper_id
-FROM (SELECT *, {week_sql("d")} FROM year) WHERE label <> 'unlikely'
+        DIGEST_BODY,
+        YEAR,
+        WEEKS,
+    ),
+    "single_files": with_papers(
+        f"""SELECT 'csv' AS kind, window_slug, 0::BIGINT AS position, 'arxiv_id' AS content FROM weeks
 UNION ALL
-SELECT c.window_slug, x.section, x.seq,
-  CASE x.seq
-    WHEN 0 THEN '# Paper Digest (' || c.window_start || ' to ' || c.window_end || ')'
-    WHEN 2 THEN '- Core papers: ' || c.core
-    WHEN 3 THEN '- Adjacent papers: ' || c.adjacent
-    WHEN 4 THEN '- Other candidates included in this digest only: ' || c.unlikely
-    WHEN 6 THEN '## Core' WHEN 10 THEN '## Adjacent'
-    WHEN 8 THEN '- None' WHEN 12 THEN '- None' ELSE '' END, '', ''
-FROM (
-  SELECT w.window_slug, w.window_start, w.window_end, count(*) FILTER (y.label = 'core') AS core,
-    count(*) FILTER (y.label = 'adjacent') AS adjacent, count(*) FILTER (y.label = 'unlikely') AS unlikely
-  FROM weeks w LEFT JOIN (SELECT label, {week_sql("d")} FROM year) y ON w.window_slug = y.window_slug
-  GROUP BY ALL) c,
-  (SELECT unnest(range(13))::INT AS seq, unnest([0,0,0,0,0,0,0,0,1,2,2,2,3])::INT AS section) x
-WHERE (x.seq <> 8 OR c.core = 0) AND (x.seq <> 12 OR c.adjacent = 0)""",
+SELECT kind, window_slug, row_number() OVER (
+    PARTITION BY kind, window_slug ORDER BY score >= 6 DESC, score >= 3 DESC, published DESC, paper_id DESC) - first, paper_id
+FROM (SELECT *, {week_sql("d")} FROM year), (VALUES ('csv', 0), ('jsonl', 1)) AS k(kind, first)
+UNION ALL
+SELECT 'digest', window_slug, row_number() OVER (
+    PARTITION BY window_slug ORDER BY section, seq, published DESC, paper_id DESC) - 1, line
+FROM ({DIGEST_BODY})""",
         YEAR,
         WEEKS,
     ),
@@ -538,6 +599,25 @@ GROUP BY w.window_start, w.window_end, w.run_id""",
     ),
     "upsert_papers": with_papers("SELECT * FROM stored", THREE_RUNS),
     "upsert_onto_base": with_papers("SELECT * FROM stored", THREE_RUNS),
+    "upsert_bucketed": with_papers("SELECT * FROM stored", THREE_RUNS),
+    "ids_bucketed": with_papers("SELECT paper_id, title FROM papers WHERE CAST(paper_id AS BIGINT) % 50 = 0"),
+    "label_intervals": with_papers(
+        """SELECT paper_id, label, min(run_id) AS from_run,
+  (SELECT min(n.run_id) FROM runs n WHERE n.paper_id = g.paper_id AND n.run_id > max(g.run_id)) AS to_run, count(*) AS runs
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY run_id)
+    - row_number() OVER (PARTITION BY paper_id, label ORDER BY run_id) AS island FROM runs) g
+GROUP BY paper_id, label, island""",
+        THREE_RUNS,
+    ),
+    "labels_as_of": with_papers(
+        """SELECT p.paper_id, as_of, r.label, r.run_id
+FROM (SELECT paper_id, '2024-12-0' || unnest([0, 1, 2, 9]) || 'T00:00:00+00:00' AS as_of FROM papers) p
+LEFT JOIN (SELECT *, '2024-12-0' || run_id || 'T00:00:00+00:00' AS at FROM runs) r
+  ON r.paper_id = p.paper_id AND r.at <= p.as_of
+QUALIFY row_number() OVER (PARTITION BY p.paper_id, as_of ORDER BY run_id DESC) = 1""",
+        THREE_RUNS,
+    ),
     "run_history": with_papers(
         """SELECT r.paper_id, r.run_id, r.label, w.window_start, w.window_end, s.title
 FROM runs r JOIN (
@@ -589,6 +669,17 @@ FROM scored s JOIN reasons r ON s.paper_id = r.paper_id WHERE s.label IN ('core'
 FROM scored s JOIN labels l ON s.paper_id = CAST(l.doc_id AS VARCHAR) GROUP BY s.label""",
         SCORES,
     ),
+    "threshold_curve": with_papers(
+        """SELECT t.score AS threshold, CAST(sum(good) AS BIGINT) AS true_positives, CAST(sum(1 - good) AS BIGINT) AS false_positives,
+  CAST(any_value(total) - sum(good) AS BIGINT) AS false_negatives, sum(good)::DOUBLE / count(*) AS precision,
+  CASE WHEN any_value(total) > 0 THEN sum(good)::DOUBLE / any_value(total) END AS recall
+FROM (SELECT DISTINCT score FROM judged) t JOIN judged j ON j.score >= t.score, (SELECT sum(good) AS total FROM judged)
+GROUP BY t.score""",
+        SCORES,
+        """judged AS (
+  SELECT s.score, CASE WHEN l.quality = 1 THEN 1 ELSE 0 END AS good
+  FROM scored s JOIN labels l ON s.paper_id = CAST(l.doc_id AS VARCHAR))""",
+    ),
     "config_diff": with_papers(
         """SELECT a.label AS old_label, b.label AS new_label, count(*) AS papers
 FROM scored a JOIN scored2 b ON a.paper_id = b.paper_id GROUP BY ALL""",

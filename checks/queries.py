@@ -16,14 +16,16 @@ from checks.fixture import CONFIG, CONTEXT_GATES, OTHER_CONFIG, WINDOW, papers
 from paperloom import schemas
 from paperloom.config import read_term_table, term_chunks
 from paperloom.functions import bibtex, dates, text
-from paperloom.operators import candidates, evaluate, merge, score, terms, windows
+from paperloom.operators import candidates, evaluate, intervals, merge, rescore, score, term_index, terms, windows
 from paperloom.operators.select import SCAN_COLUMNS, select_papers
-from paperloom.plans import exports, store
+from paperloom.plans import buckets, exports, single, store
 from paperloom.plans.run import run_rows, run_window, triage_documents, undated
 from paperloom.plans.staging import shared_dir, write_text
-from paperloom.sources import feed
+from paperloom.sources import feed, feed_entries
 from paperloom.sources.documents import read_documents
 from paperloom.sources.ids import id_list
+from paperloom.sources.positions import with_positions
+from paperloom.streaming.arrivals import first_arrivals
 
 YEAR_MONTHS = [f"2024-{m:02d}" for m in range(1, 13)]
 FEED_BLOCK = 200
@@ -169,7 +171,15 @@ def feed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({c: bar(c) for c in ("categories", "authors", "sources")})
 
 
-def ingest_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_entries_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of ``feed_ingest`` as files, read entry by entry."""
+    path = scratch(spark)
+    feed_pages(spark, sf_dir).write.partitionBy(*feed.PAGE_COLUMNS).text(path)
+    rows = feed.valid_papers(feed_entries.stream_entries(spark, path, lambda rows, name: staged(rows)))
+    return rows.withColumns({c: bar(c) for c in ("categories", "authors", "sources")})
+
+
+def landed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources of 400 ids in pages of 50; by rule pages are missing, cut short, landed twice, or behind the end."""
     number = F.col("doc_id")
     docs = read_documents(spark, f"{sf_dir}/documents.parquet", "doc_id")
@@ -196,7 +206,15 @@ def ingest_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_ordinal", F.concat(F.lit("range:"), F.col("source_ordinal").cast("string")).alias("source_name"),
         "page_start", value.alias("value"),
     )
-    return feed.ingest_completeness(feed.parse_pages(named), page_size=50)
+    return named
+
+
+def ingest_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed.ingest_completeness(feed.parse_pages(landed_ranges(spark, sf_dir)), page_size=50)
+
+
+def missing_page_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed.missing_page_ranges(feed.parse_pages(landed_ranges(spark, sf_dir)), page_size=50)
 
 
 def quarantined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,6 +472,40 @@ def merge_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_position(merge.in_merged_order(merged.withColumn("sources", bar("sources"))))
 
 
+def streamed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates of ``merge_papers`` landing on four days in turn, each day a micro-batch."""
+    rows = candidates.all_candidates(papers(spark, sf_dir), CONFIG)
+    day = F.col("source_ordinal") % 4
+    landed = staged(
+        rows.select(
+            "paper_id",
+            "title",
+            "published",
+            F.concat("abs_url", F.lit("."), F.col("source_ordinal").cast("string")).alias("abs_url"),
+            F.array("source_name").alias("sources"),
+            "source_ordinal",
+            F.lit(0).cast("bigint").alias("page_start"),
+            F.lit(0).alias("pos"),
+            F.timestamp_add("DAY", day, F.lit("2024-06-01 00:00:00").cast("timestamp")).alias("landed_at"),
+        )
+    )
+    folder = scratch(spark)
+    for i in range(4):
+        landed.where(day == i).coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landing")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/out/part={number}")
+
+    first_arrivals(stream).writeStream.foreachBatch(keep).outputMode("update").option(
+        "checkpointLocation", f"{folder}/progress"
+    ).trigger(availableNow=True).start().awaitTermination()
+    seen = spark.read.parquet(f"{folder}/out").drop("part")
+    rest = [c for c in seen.columns if c not in ("paper_id", "batch")]
+    last = seen.groupBy("paper_id").agg(F.max_by(F.struct(*rest), "batch").alias("last")).select("paper_id", "last.*")
+    return last.withColumn("sources", bar("sources"))
+
+
 def merge_table_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All papers and altered copies of some: the earliest source wins, then the copy that sorts first."""
     rows, number = papers(spark, sf_dir), F.col("paper_id").cast("long")
@@ -498,6 +550,29 @@ def term_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.term_matches(papers(spark, sf_dir), CONFIG)
 
 
+def many_terms(rows: DataFrame) -> DataFrame:
+    """Twelve pieces of every summary, cut by rule, as terms."""
+    number = F.col("paper_id").cast("int")
+    pieces = [F.substring("summary", 1 + (number * 7 + k * 61) % 400, 8 + (number + k) % 9) for k in range(12)]
+    return rows.select(F.explode(F.array(*[F.lower(p) for p in pieces])).alias("term")).where("term <> ''").distinct()
+
+
+def many_term_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = papers(spark, sf_dir)
+    return term_index.find_terms(rows, staged(many_terms(rows)))
+
+
+def score_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores by the index that serves configs of thousands of terms."""
+    return term_index.score_many(papers(spark, sf_dir), CONFIG).select("paper_id", "score", "label", bar("reasons"))
+
+
+def rescore_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers scored by one config, then by another from the stored hits of the first."""
+    stored = staged(terms.match_terms(papers(spark, sf_dir), CONFIG, terms.SCORING_TIERS))
+    return rescore.rescore(stored, CONFIG, OTHER_CONFIG).select("paper_id", "score", "label")
+
+
 def context_gated_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = terms.context_gated_terms(papers(spark, sf_dir), CONTEXT_GATES)
     return rows.select("paper_id", "term", bar("contexts"))
@@ -624,6 +699,24 @@ def jsonl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def single_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV, JSON Lines and digest of every week as one file each, read back line by line with positions."""
+    rows, folder = staged(windows.in_month_weeks(triaged(spark, sf_dir))), scratch(spark)
+    single.write_single_exports(rows, windows.month_windows(spark, YEAR_MONTHS), folder)
+    lines = spark.read.text([f"{folder}/{kind}" for kind in single.NAMES])
+    placed = with_positions(lines, lambda rows, name: staged(rows), path="path")
+    kind = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    return placed.select(
+        kind.alias("kind"),
+        F.regexp_extract("path", r"([^/]+)\.[a-z]+$", 1).alias("window_slug"),
+        "position",
+        F.when(kind == "csv", F.split("value", ",")[1])
+        .when(kind == "jsonl", F.get_json_object("value", "$.arxiv_id"))
+        .otherwise(F.col("value"))
+        .alias("content"),
+    )
+
+
 def undated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Papers whose published text is cut by rule: those without a full date go to the quarantine."""
     cut = F.left("published", (F.col("paper_id").cast("long") % 14).cast("int"))
@@ -739,6 +832,37 @@ def upsert_onto_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.apply_changes(kept.filter("run_id = 1"), kept.filter("run_id > 1"))
 
 
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three runs as upserts into a bucketed snapshot."""
+    kept = staged(score.relevant(three_runs(spark, sf_dir)).select(*STORED))
+    snapshot = buckets.BucketedPapers(spark, scratch(spark), kept.schema, buckets=16)
+    for run_id in RUN_WINDOWS:
+        snapshot.upsert(kept.filter(F.col("run_id") == run_id))
+    return snapshot.current()
+
+
+def ids_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers of a list of ids out of a bucketed snapshot; some ids are listed twice, some are not stored."""
+    rows = papers(spark, sf_dir).select("paper_id", "title", F.lit(1).cast("bigint").alias("run_id"))
+    snapshot = buckets.BucketedPapers(spark, scratch(spark), rows.schema, buckets=64)
+    snapshot.upsert(staged(rows))
+    number = F.col("paper_id").cast("bigint")
+    ids = rows.filter(number % 50 < 2).select(F.explode(F.array((number - number % 2).cast("string"), F.concat(F.lit("x"), number))).alias("paper_id"))
+    return snapshot.of_ids(ids).select("paper_id", "title")
+
+
+def label_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.label_intervals(three_runs(spark, sf_dir))
+
+
+def labels_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of all papers before, between and after the runs."""
+    runs = three_runs(spark, sf_dir)
+    log = runs.groupBy("run_id").agg(F.max("latest_seen_at").alias("collected_at"))
+    dates_ = F.explode(F.array(*[F.lit(f"2024-12-0{d}T00:00:00+00:00") for d in (0, 1, 2, 9)])).alias("as_of")
+    return intervals.labels_as_of(runs, log, papers(spark, sf_dir).select("paper_id", dates_))
+
+
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = three_runs(spark, sf_dir)
     log = runs.groupBy("run_id").agg(
@@ -792,6 +916,12 @@ def label_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.label_confusion(scored(spark, sf_dir), truth, F.col("quality") == 1)
 
 
+def threshold_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision and recall against the quality labels from each score on."""
+    truth = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumn("paper_id", F.col("doc_id").cast("string"))
+    return evaluate.threshold_curve(scored(spark, sf_dir), truth, F.col("quality") == 1)
+
+
 def config_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.config_diff(papers(spark, sf_dir), CONFIG, OTHER_CONFIG)
 
@@ -800,7 +930,9 @@ QUERIES = {
     query.__name__: query
     for query in (
         feed_ingest,
+        feed_entries_streamed,
         ingest_completeness,
+        missing_page_ranges,
         quarantined_pages,
         quarantined_records,
         config_terms,
@@ -823,6 +955,7 @@ QUERIES = {
         all_candidates,
         tagged_candidates,
         merge_papers,
+        streamed_merge,
         merge_table_copies,
         score_papers,
         score_reasons,
@@ -831,6 +964,9 @@ QUERIES = {
         label_counts,
         relevant_papers,
         term_matches,
+        many_term_matches,
+        score_indexed,
+        rescore_delta,
         context_gated_terms,
         trailing_window,
         month_weeks,
@@ -847,6 +983,7 @@ QUERIES = {
         export_csv_rows,
         export_jsonl_rows,
         csv_files,
+        single_files,
         jsonl_files,
         undated_records,
         digest_lines,
@@ -855,12 +992,17 @@ QUERIES = {
         run_log,
         run_papers,
         upsert_papers,
+        upsert_bucketed,
+        ids_bucketed,
+        label_intervals,
+        labels_as_of,
         upsert_onto_base,
         run_history,
         run_orphans,
         store_roundtrip,
         shortlist,
         label_confusion,
+        threshold_curve,
         config_diff,
     )
 }
