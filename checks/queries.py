@@ -468,7 +468,7 @@ def merge_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("page_start"),
         F.lit(0).alias("pos"),
     )
-    merged = merge.merge_papers(versions)
+    merged = staged(merge.merge_papers(versions))
     return with_position(merge.in_merged_order(merged.withColumn("sources", bar("sources"))))
 
 
@@ -669,7 +669,8 @@ def filter_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = exports.in_export_order(exports.export_rows(triaged(spark, sf_dir)))
+    # Stored before the sort, which samples its input.
+    rows = exports.in_export_order(staged(exports.export_rows(triaged(spark, sf_dir))))
     lists = {c: bar(c) for c in ("categories", "authors", "source_queries")}
     return with_position(rows.withColumns(lists))
 

@@ -187,9 +187,12 @@ def in_bibliography_order(entries: DataFrame) -> DataFrame:
 
 
 def write_bibtex(papers: DataFrame, path: str) -> None:
-    """Newest first, ties by id; a blank line after every entry."""
+    """Newest first, ties by id; a blank line after every entry.
+
+    Papers are sorted before their entries are made, so what Spark samples for the sort are stored columns.
+    """
     (
-        in_bibliography_order(bibtex_entries(papers))
+        bibtex_entries(in_bibliography_order(papers.select(*SCAN_COLUMNS)))
         .select(F.concat("entry", F.lit("\n")).alias("value"))
         .write.mode("overwrite")
         .text(path)

@@ -183,7 +183,6 @@ class PaperStore:
         held = self._read("snapshots", schemas.SNAPSHOTS).filter(F.col("snapshot") == last)
         if self._finished().join(held, schemas.RUN_KEYS, "left_anti").isEmpty():
             return last
-        runs = self._finished().collect()
         known = [
             self._read(name, schema).agg(F.max("snapshot")).first()[0] or 0
             for name, schema in (("base", schemas.BASE), ("snapshots", schemas.SNAPSHOTS))
@@ -192,7 +191,8 @@ class PaperStore:
         current = self.papers().withColumn("snapshot", F.lit(snapshot).cast("long"))
         by_month = current.hint("rebalance", "published_month").select(*schemas.BASE.fieldNames())
         by_month.write.mode("append").partitionBy("snapshot", "published_month").parquet(self._path("base"))
-        done = self.spark.createDataFrame([(snapshot, *r) for r in runs], schemas.SNAPSHOTS)
+        # One writer at a time: the log is what it was when the papers were read.
+        done = self._finished().select(F.lit(snapshot).cast("long").alias("snapshot"), *schemas.RUN_KEYS)
         done.write.mode("append").parquet(self._path("snapshots"))
         return snapshot
 
