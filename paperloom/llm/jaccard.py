@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from paperloom.llm.arrow import small_batches
+from paperloom.llm.arrow import enter, small_batches
 from paperloom.llm.common import stage
 from paperloom.llm.graphs import components
 
@@ -82,6 +82,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
+def _forget_powers() -> None:
+    _POWERS.clear()
+
+
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """Sorted distinct hashes of the word shingles of each text; lower case, words between ASCII white space."""
     coded = [(t or "").lower().encode() for t in texts]
@@ -165,6 +169,7 @@ def describe(docs: DataFrame, runs: int, depth: int) -> DataFrame:
     schema = "doc_id bigint, text_key bigint, set_id bigint, paths array<bigint>"
 
     def run(batches):
+        enter("jaccard", _forget_powers)
         seeds = _seeds(runs)
         for batch in small_batches(batches, "text"):
             sets = shingle_sets(batch.column("text").to_pylist())
@@ -184,6 +189,7 @@ def _sets(texts: DataFrame) -> DataFrame:
     """set_id, shingles (binary), sketch of each text."""
 
     def run(batches):
+        enter("jaccard", _forget_powers)
         for batch in small_batches(batches, "text"):
             sets = [s for s in shingle_sets(batch.column("text").to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays(
@@ -202,6 +208,7 @@ def _longer(hot: DataFrame, levels: int) -> DataFrame:
     """(path, set_id) of sets with their paths (array) and shingles, some tokens on."""
 
     def run(batches):
+        enter("jaccard", _forget_powers)
         for batch in small_batches(batches, "shingles"):
             paths, owners = [], []
             for own, start, data in zip(*(batch.column(c).to_pylist() for c in ("set_id", "paths", "shingles"))):
@@ -291,6 +298,7 @@ def _alike(rows: DataFrame) -> DataFrame:
     most = SKETCH_BITS - (SKETCH_BITS * agree - 5 * math.sqrt(SKETCH_BITS * agree * (1 - agree)))
 
     def run(batches):
+        enter("jaccard", _forget_powers)
         left, right = [], []
         for table in _runs(batches, ["path", "tile"]):
             if table.num_rows < 2:
@@ -374,6 +382,7 @@ def _compared(rows: DataFrame) -> DataFrame:
     schema = "set_id bigint, links bigint, a bigint, b bigint"
 
     def run(batches):
+        enter("jaccard", _forget_powers)
         for table in _runs(batches, ["block", "tile"]):
             if table.num_rows < 2:
                 continue
@@ -463,16 +472,20 @@ def similar_classes(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows, with all their columns, without all but one of each class: the one with the least doc_id, then text hash.
 
-    Rows without words are all kept.
+    Rows without words are all kept, repeated ones too.
     """
     told = stage(similar_classes(docs).select("doc_id", "text_key", "class_key"), "classes")
     first = F.min(F.struct("doc_id", "text_key")).alias("k")
     some = told.where(F.col("class_key").isNotNull())
     keepers = some.groupBy("class_key").agg(first).select("k.*")
     blank = told.where(F.col("class_key").isNull()).select("doc_id", "text_key").distinct()
-    wanted = keepers.unionByName(blank).select(F.col("doc_id").alias("_w_doc"), F.col("text_key").alias("_w_text"))
-    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_w_doc")) & (F.xxhash64(docs["text"]) == F.col("_w_text"))
-    kept = docs.join(wanted, same, "left_semi")
-    twice = some.groupBy("doc_id", "text_key").count().where("count > 1")
-    # Rows that agree in id and text are one text of the class; only then are whole rows compared.
-    return kept if twice.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+
+    def of(keys: DataFrame) -> DataFrame:
+        wanted = keys.select(F.col("doc_id").alias("_w_doc"), F.col("text_key").alias("_w_text"))
+        same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_w_doc")) & (F.xxhash64(docs["text"]) == F.col("_w_text"))
+        return docs.join(wanted, same, "left_semi")
+
+    if some.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
+        return of(keepers.unionByName(blank))
+    # Worded rows that agree in id and text are one text of the class; only then are whole rows compared.
+    return of(keepers).dropDuplicates(["doc_id", "text"]).unionByName(of(blank))

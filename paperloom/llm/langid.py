@@ -7,11 +7,14 @@ sample is held back to fit one temperature that calibrates the scores.  A term f
 n-grams, so a prediction is a mean of weights over all places of the whole text.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; so is every text if there is nothing to
-learn from; rows without a language are not learned from; repeated rows get equal results; other columns are ignored; an empty table gives an empty table.
+learn from; rows without a language are not learned from; repeated rows get equal results; of equally probable languages the first by name is
+told; texts are worked on in stretches, so memory does not follow their length; other columns are ignored, but kept ones must not be named
+``lang_pred`` or ``score``; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from paperloom.llm.arrow import small_batches
+from paperloom.llm.arrow import enter, small_batches
 
 FEATURE_BITS = 17
 ORDERS = 3
@@ -30,6 +33,8 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 1e-4
 #: Brings mean term weights to the order of one.
 SCALE = 40.0
 UNKNOWN = "und"
+#: Places of texts that are worked on at a time.
+STRETCH = 1 << 18
 _LETTER = regex.compile(r"\p{L}")
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _TABLE: list[np.ndarray] = []
@@ -46,21 +51,40 @@ def _letters() -> np.ndarray:
     return _TABLE[0]
 
 
-def gram_features(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Feature numbers of every place, one array per order, and where each text begins and ends in them.
-
-    A gap stands before a text and gaps enough behind it that no gram reaches the next one.
-    """
-    points = np.frombuffer("".join(" " + t + "  " for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+def _features(text: str) -> list[np.ndarray]:
+    """Feature numbers of every place, one array per order; the last places lack what follows them."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.where(points < 1 << 16, _letters()[np.minimum(points, 0xFFFF)], points).astype(np.uint64)
-    starts = np.cumsum([0] + [len(t) + 3 for t in texts])[:-1]
-    ends = starts + np.array([len(t) + 1 for t in texts], np.int64)
     out, key = [], codes
     for order in range(1, ORDERS + 1):
         if order > 1:
             key = key * np.uint64(0x110003) + np.concatenate([codes[order - 1 :], np.full(order - 1, 32, np.uint64)])
         out.append(((key + np.uint64(order)) * _SPREAD >> np.uint64(64 - FEATURE_BITS)).astype(np.int32))
-    return out, starts, ends
+    return out
+
+
+def gram_features(texts: list[str], places: int = STRETCH) -> Iterator[tuple[list[int], list[np.ndarray], np.ndarray]]:
+    """Groups of texts, or stretches of them, of about ``places`` places at most.
+
+    Each group has the number of the text of every part, the feature numbers of every place, one array per order, and where parts
+    begin and end in them, one after the other.  A gap stands before a text and behind it.
+    """
+    owners, parts, spans, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        for at in range(0, len(text) + 1, places):
+            n = min(places, len(text) + 1 - at)
+            if owners and size + n > places:
+                yield owners, _features("".join(parts)), np.array(spans)
+                owners, parts, spans, size = [], [], [], 0
+            # Place ``at`` is the gap for 0 and the character before it otherwise; two more are what its grams need.
+            part = (" " if at == 0 else "") + text[max(0, at - 1) : at + n + 1]
+            part += " " * (n + 2 - len(part))
+            owners.append(i)
+            parts.append(part)
+            spans += [size, size + n]
+            size += n + 2
+    if owners:
+        yield owners, _features("".join(parts)), np.array(spans)
 
 
 @dataclass
@@ -72,12 +96,12 @@ class LanguageModel:
     temperature: float
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
-        features, starts, ends = gram_features(texts)
         total = np.zeros((len(texts), len(self.languages)))
-        spans = np.stack([starts, ends], axis=1).reshape(-1)
-        for f in features:
-            total += np.add.reduceat(self.table[f], spans, axis=0)[::2]
-        sizes = (ends - starts) * ORDERS
+        # The weights of all places of a group, for every language, are in memory at once.
+        for owners, features, spans in gram_features(texts, max(1 << 10, STRETCH * 4 // len(self.languages))):
+            for f in features:
+                np.add.at(total, owners, np.add.reduceat(self.table[f], spans, axis=0)[::2])
+        sizes = np.array([len(t) + 1 for t in texts]) * ORDERS
         z = (total * (SCALE / sizes[:, None]) + self.bias) / self.temperature
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
@@ -92,16 +116,20 @@ def _document_counts(rows: DataFrame) -> DataFrame:
     """(feature, n) over all rows; a task sends each feature once."""
 
     def run(batches):
+        enter("langid")
         count, mark = np.zeros(1 << FEATURE_BITS, np.int64), np.zeros(1 << FEATURE_BITS, bool)
         for batch in small_batches(batches, "text", 1 << 20):
-            texts = batch.column("text").to_pylist()
-            features, starts, ends = gram_features(texts)
-            for a, b in zip(starts.tolist(), ends.tolist()):
-                for f in features:
-                    mark[f[a:b]] = True
-                count += mark
-                for f in features:
-                    mark[f[a:b]] = False
+            last = 0
+            for owners, features, spans in gram_features(batch.column("text").to_pylist()):
+                for owner, a, b in zip(owners, spans[::2].tolist(), spans[1::2].tolist()):
+                    if owner != last:
+                        count += mark
+                        mark[:] = False
+                        last = owner
+                    for f in features:
+                        mark[f[a:b]] = True
+            count += mark
+            mark[:] = False
         used = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(count[used])], names=["feature", "n"])
 
@@ -167,19 +195,31 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     shares = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(each / counts[k]))])
     # Copies of a text fall on the same side of the split.
     calibrate = F.pmod(F.xxhash64("text"), F.lit(5)) == 0
-    drawn = rows.where(F.rand(11) < shares[F.col("lang")]).select("text", "lang", calibrate.alias("calibrate"))
+    # Drawn by a hash of the row, so the same rows whatever files they lie in; copies under other ids are drawn apart.
+    key = [c for c in ("doc_id", "text", "lang") if c in docs.columns]
+    chance = F.pmod(F.xxhash64(F.lit(11), *key), F.lit(1 << 30)) / (1 << 30)
+    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL")
+    drawn = labelled.where(chance < shares[F.col("lang")]).select("text", "lang", calibrate.alias("calibrate"))
     number = {k: i for i, k in enumerate(languages)}
     weights_of = docs.sparkSession.sparkContext.broadcast(idf)
 
     def described(batches):
+        enter("langid")
         for batch in small_batches(batches, "text", 1 << 20):
             texts = batch.column("text").to_pylist()
-            features, starts, ends = gram_features(texts)
+            met: list[dict] = [{} for _ in texts]
+            for owners, features, spans in gram_features(texts):
+                for owner, a, b in zip(owners, spans[::2].tolist(), spans[1::2].tolist()):
+                    used, n = np.unique(np.concatenate([f[a:b] for f in features]), return_counts=True)
+                    known = met[owner]
+                    for u, c in zip(used.tolist(), n.tolist()):
+                        known[u] = known.get(u, 0) + c
             at, values = [], []
-            for a, b in zip(starts.tolist(), ends.tolist()):
-                used, n = np.unique(np.concatenate([f[a:b] for f in features]), return_counts=True)
-                at.append(used.astype(np.int32).tobytes())
-                values.append((n * weights_of.value[used] * (SCALE / (ORDERS * (b - a)))).astype(np.float32).tobytes())
+            for text, known in zip(texts, met):
+                used = np.array(sorted(known), np.int32)
+                n = np.array([known[u] for u in used.tolist()])
+                at.append(used.tobytes())
+                values.append((n * weights_of.value[used] * (SCALE / (ORDERS * (len(text) + 1)))).astype(np.float32).tobytes())
             y = [number[x] for x in batch.column("lang").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at, pa.binary()), pa.array(values, pa.binary()), pa.array(y, pa.int32()), batch.column("calibrate")],
@@ -217,7 +257,10 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame
     """``keep`` columns, lang_pred, score of the column text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    own = ["_text" if c == "text" else c for c in keep]
+
     def run(batches):
+        enter("langid")
         model = shared.value
         for batch in small_batches(batches, "_text", 1 << 20):
             texts = batch.column("_text").to_pylist()
@@ -228,10 +271,11 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame
                 for i, j, s in zip(known, p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
                     label[i], score[i] = model.languages[j], s
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in keep] + [pa.array(label, pa.string()), pa.array(score, pa.float64())],
+                [batch.column(c) for c in own] + [pa.array(label, pa.string()), pa.array(score, pa.float64())],
                 names=[*keep, "lang_pred", "score"],
             )
 
-    rows = docs.select(*keep, F.col("text").alias("_text"))
-    fields = [rows.schema[c] for c in keep] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    # A kept text travels once.
+    rows = docs.select(*[c for c in keep if c != "text"], F.col("text").alias("_text"))
+    fields = [T.StructField(c, docs.schema[c].dataType) for c in keep] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     return rows.mapInArrow(run, T.StructType(fields))

@@ -15,7 +15,7 @@ quartiles, over all texts that pass the base rules, and is wider for short texts
 ``1 + SHORT / characters``.  Junk lies far outside, and no fixed share of the texts is rejected.
 
 Defined results: a null text counts as empty, without words, and fails the base rules; a null language is a language of its own; repeated rows
-are measured each; other columns are ignored; an empty table gives an empty table.
+are measured each; other columns are ignored, but kept ones must not be named like results; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyarrow import compute, parquet
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from paperloom.llm.arrow import filesystem, small_batches
+from paperloom.llm.arrow import enter, filesystem, small_batches
 from paperloom.llm.common import stage, union_all
 
 ORDER = 5
@@ -137,6 +137,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["model", "h", "gram", *names])
 
     def run(batches):
+        enter("quality")
         held: dict[str, list] = {}
         size = 0
         for batch in small_batches(batches, "text"):
@@ -331,14 +332,18 @@ _MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_word
 
 
 def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns, the measures, base_failed, log_perplexity, low, high, kept.  Needs the columns text and lang."""
-    language = F.coalesce(F.col("lang"), F.lit("")).alias("model")
+    """``keep`` columns, the measures, base_failed, kept, log_perplexity, low, high.  Needs the columns text and lang."""
+    # A missing language is none of the named ones.
+    language = F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("")).alias("model")
     fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold")
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], language, fold, "text")
+    # A kept text travels once.
+    kept = ["text" if c == "text" else f"_k{i}" for i, c in enumerate(keep)]
+    others = [F.col(f"`{c}`").alias(n) for c, n in zip(keep, kept) if c != "text"]
+    rows = docs.select(*others, language, fold, "text")
     files = train(rows)
-    kept = [f"_k{i}" for i in range(len(keep))]
 
     def run(batches):
+        enter("quality")
         for block in _blocks(batches):
             for batch, mean in zip(block, log_perplexities(files, block)):
                 found = list(zip(*(measures(t or "") for t in batch.column("text").to_pylist())))
@@ -366,11 +371,11 @@ def judge(docs: DataFrame, keep: list[str]) -> DataFrame:
     high = F.col("band.high") + F.col("band.reach") * F.col("wide")
     inside = F.col("log_perplexity").between(low, high)
     return out.select(
-        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
+        *[F.col(n).alias(c) for n, c in zip(kept, keep)],
         *_MEASURES,
         "base_failed",
+        (~failed & F.coalesce(inside, F.lit(False))).alias("kept"),
         "log_perplexity",
         low.alias("low"),
         high.alias("high"),
-        (~failed & F.coalesce(inside, F.lit(False))).alias("kept"),
     )

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from paperloom.llm.arrow import small_batches
+from paperloom.llm.arrow import enter, small_batches
 from paperloom.llm.common import stage
 
 SCALE = 256
@@ -194,6 +194,7 @@ def pack_vectors(rows: DataFrame, keep: list[str], vector: str, scale: float = S
     schema = T.StructType([*[T.StructField(n, named.schema[n].dataType) for n in names], T.StructField("_x", T.BinaryType())])
 
     def run(batches):
+        enter("whiten")
         for batch in batches:
             columns = [batch.column(c) for c in names] + [_pack(batch.column("_v"), scale)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
@@ -231,6 +232,7 @@ def fit_whitening(packed: DataFrame, components: int = COMPONENTS) -> Whitening
         """Sum over all tasks of a matrix that each makes of its part of the fit list."""
 
         def run(batches):
+            enter("whiten")
             made = map_rows(x for _, x in _batches(batches, "_x"))
             if made is not None:
                 yield pa.RecordBatch.from_pydict(
@@ -296,6 +298,7 @@ def whiten(
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
+        enter("whiten")
         model = shared.value
         k = len(model.values)
         for batch, x in _batches(batches, "_x"):

@@ -49,6 +49,73 @@ def test_nothing_to_learn_from(make_docs):
     assert langid.predict(docs.limit(0), model, ["doc_id"]).count() == 0
 
 
+def _slow_features(text):
+    """Feature numbers of all grams, one character after the other."""
+    padded = " " + text + "  "
+    code = lambda c: ord(c) if ord(c) > 0xFFFF else ord(c.lower()[0]) if c.isalpha() else 32
+    out = []
+    for i in range(len(text) + 1):
+        for order in range(1, langid.ORDERS + 1):
+            key = 0
+            for j in range(order):
+                key = (key * 0x110003 + code(padded[i + j])) % 2**64 if j else code(padded[i])
+            out.append((key + order) * 0x9E3779B97F4A7C15 % 2**64 >> 64 - langid.FEATURE_BITS)
+    return out
+
+
+def test_probabilities_equal_the_slow_way(monkeypatch):
+    rng = np.random.default_rng(5)
+    model = langid.LanguageModel(["a", "b", "c"], rng.normal(size=(1 << langid.FEATURE_BITS, 3)).astype(np.float32), rng.normal(size=3), 1.7)
+    texts = ["ab", "É", "日本 🙂 x", "Some longer text, with MARKS. " * 9, "z" * 3000]
+    want = []
+    for t in texts:
+        f = _slow_features(t)
+        z = (model.table[f].astype(np.float64).sum(axis=0) * langid.SCALE / len(f) + model.bias) / model.temperature
+        want.append(np.exp(z) / np.exp(z).sum())
+    for places in (1 << 18, 5000, 1100):
+        monkeypatch.setattr(langid, "STRETCH", places)
+        assert np.allclose(model.probabilities(texts), want, rtol=1e-4)
+
+
+def test_ftrl_equals_a_plain_loop():
+    rng = np.random.default_rng(6)
+    rows = []
+    for _ in range(40):
+        y = int(rng.integers(0, 3))
+        at = np.unique(np.concatenate([rng.integers(0, 50, 6), [y * 7]])).astype(np.int32)
+        rows.append((at, rng.random(len(at)).astype(np.float32) * 3, y))
+    got, bias = langid.ftrl(rows, 3, epochs=2)
+    z, n = {}, {}
+    weight = lambda k, l1: 0.0 if abs(z.get(k, 0.0)) <= l1 else -np.sign(z[k]) * (abs(z[k]) - l1) / ((langid.BETA + n[k] ** 0.5) / langid.ALPHA + langid.L2)
+    order = np.random.default_rng(7)
+    for _ in range(2):
+        for i in order.permutation(len(rows)):
+            at, x, y = rows[i]
+            features = [(int(f), float(v)) for f, v in zip(at, x)]
+            scores = [weight(("bias", c), 0.0) + sum(v * weight((f, c), langid.L1) for f, v in features) for c in range(3)]
+            p = np.exp(np.array(scores) - max(scores))
+            p /= p.sum()
+            for c in range(3):
+                error = p[c] - (c == y)
+                for f, v, l1 in [*((f, v, langid.L1) for f, v in features), ("bias", 1.0, 0.0)]:
+                    key, g = (f, c), error * v
+                    w, before = weight(key, l1), n.get(key, 0.0)
+                    z[key] = z.get(key, 0.0) + g - ((before + g * g) ** 0.5 - before**0.5) / langid.ALPHA * w
+                    n[key] = before + g * g
+    for f in range(50):
+        for c in range(3):
+            assert abs(got[f, c] - weight((f, c), langid.L1)) < 1e-6
+    assert np.allclose(bias, [weight(("bias", c), 0.0) for c in range(3)], atol=1e-6)
+    assert 0 < np.count_nonzero(got) < 150
+
+
+def test_the_sample_does_not_depend_on_the_layout(spark, make_docs):
+    rng = random.Random(9)
+    rows = [(i, sentence(lang := rng.choice(list(SAMPLES)), 12, rng), lang) for i in range(300)]
+    models = [langid.train(make_docs(rows).repartition(n), 90) for n in (1, 7)]
+    assert np.array_equal(models[0].table, models[1].table) and models[0].temperature == models[1].temperature
+
+
 def test_temperature_lowers_the_loss():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 3, 500)
@@ -160,6 +227,13 @@ def test_repeated_rows_and_missing_ids(make_docs):
     assert jaccard.similar_classes(make_docs([])).count() == 0
 
 
+def test_rows_without_words_are_all_kept(make_docs):
+    blank = [(1, None, "a"), (1, None, "a"), (2, " \n", "b"), (2, " \n", "b"), (3, "", None)]
+    assert sorted(r.doc_id for r in jaccard.keep_one(make_docs(blank)).collect()) == [1, 1, 2, 2, 3]
+    worded = [(4, "some words that are here", None)] * 3 + [(5, "some words that are here", None), (6, "other words that are there", None)]
+    assert sorted(r.doc_id for r in jaccard.keep_one(make_docs(blank + worded)).collect()) == [1, 1, 2, 2, 3, 4, 6]
+
+
 def test_runs_follow_the_target():
     assert jaccard.runs_for(target=0.9) < jaccard.runs_for(target=0.999) < 40
 
