@@ -23,9 +23,9 @@ ORACLE_SQL = None
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, list[str], list]:
-    """Rows with numbered copies of all columns, their names, and how to name them back."""
-    names = [f"_c{i}" for i in range(len(docs.columns))]
-    copies = [F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)]
+    """Rows with numbered copies of all columns but the text, their names, and how to name them back."""
+    names = ["text" if c == "text" else f"_c{i}" for i, c in enumerate(docs.columns)]
+    copies = [F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names) if c != "text"]
     back = [F.col(n).alias(c) for c, n in zip(docs.columns, names)]
     return docs.select("doc_id", "text", "lang", *copies), names, back
 
