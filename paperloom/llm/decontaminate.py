@@ -10,7 +10,8 @@ The 64-bit SimHashes of the words tell how far the best window and the item are
 Fixed: shingles of five words, similarity 0.8.  The item shingles are broadcast up to ``BROADCAST_GRAMS`` of them, which is
 counted first; beyond that Spark joins them like any table.
 
-Defined results: null or empty texts hold nothing; items below five words have no shingle and are found nowhere; a text shorter than
+Defined results: null or empty texts hold nothing; items of one to four words are one shingle and are
+found where all their words stand; items without words are found nowhere; a text shorter than
 an item is one window; repeated rows are reported each; empty tables give an empty table; other columns are ignored.
 """
 
@@ -18,13 +19,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.llm.common import held
+from paperloom.llm.common import held, union_all
 from paperloom.llm.grams import gram_positions, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Bits by which fingerprints of a found pair may differ: all of them.
-RADIUS = 64
 BROADCAST_GRAMS = 500_000
 #: Low bits of a shingle's number that hold its weight.
 WEIGHT = 4095
@@ -100,14 +99,41 @@ def find_passages(docs: DataFrame, items: DataFrame, keep: list[str]) -> DataFra
         F.max(F.struct("similarity", (-F.col("start")).alias("back"), "span", "part", "i_fingerprint")).alias("best")
     )
     best = held(best.select("*", F.col("best.part").alias("part")), fingerprint=simhash("part"))
-    return best.select(
-        *[F.col("own")[f"c{i}"].alias(c) for i, c in enumerate(keep)],
+    kept = [F.col("own")[f"c{i}"].alias(c) for i, c in enumerate(keep)]
+    found = best.select(
+        *kept,
         "item_id",
         (-F.col("best.back")).cast("long").alias("first_word"),
         F.col("best.span").cast("long").alias("n_words"),
         F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("best.i_fingerprint"))).alias("hamming"),
         F.col("best.similarity").alias("similarity"),
     )
+    short = _short_places(rows, items).select(*kept, *found.columns[len(keep) :])
+    return found.unionByName(short)
+
+
+def _short_places(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """First places of items below a shingle's length, which are found where all their words stand."""
+    known = held(items.select("item_id", "text"), part=words(F.col("text")))
+    known = known.where((F.size("part") > 0) & (F.size("part") < SHINGLE)).select("item_id", "part", F.xxhash64("part").alias("i_h"))
+    # At most one row per length.
+    lengths = sorted(r[0] for r in known.select(F.size("part")).distinct().collect())
+    if not lengths:
+        rows = rows.where(F.lit(False))
+    found = []
+    # Without short items there is nothing to look for, but the columns are the same.
+    for k in lengths or [SHINGLE]:
+        met = gram_positions(rows, k).join(known.where(F.size("part") == k), F.col("h") == F.col("i_h"))
+        met = met.where(F.slice("words", F.col("pos") + 1, k) == F.col("part"))
+        found.append(met.groupBy("row", "own", "item_id").agg(F.min("pos").alias("pos")).withColumn("k", F.lit(k)))
+    return union_all(found).select(
+        "own",
+        "item_id",
+        F.col("pos").cast("long").alias("first_word"),
+        F.col("k").cast("long").alias("n_words"),
+        F.lit(0).alias("hamming"),
+        F.lit(1.0).alias("similarity"),
+    )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
