@@ -1,20 +1,20 @@
 """Phrase collocations by dynamic itemset counting.
 
 The words of all texts are written once, in blocks of one language, dealt over ``SHARDS`` shards.  The scans go round the
-shards.  Words are counted from the first scan on; a longer phrase is counted from the scan after the one in which
+shards.  Words are counted from the first scan on; a longer phrase is active from the scan after the one in which
 the later of its two subphrases (all words but the last, all but the first) reached the threshold, for
 exactly one round, in which it meets every shard once.  So lengths interleave: pairs are counted while words still are.
-The scans end when no round is open any more.  A phrase that never reaches the threshold makes no longer one be counted, and
-every phrase at or above it is counted whole.
+The scans end when no round is open any more, so every phrase at or above the threshold is counted whole.
 
 Counts are a table keyed by the fingerprints of the two subphrases.  A scan adds up within its tasks first, then by one
-shuffle together with the counts so far.  Which phrases a scan has to count is decided by a join with the table of
-phrases that reached the threshold and when; tasks only leave out beforehand what surely is not to be counted, by a
-table of ``SLOTS`` bytes (16 MB whatever the corpus) in which a phrase marks one byte with its scan.  Meeting bytes make a task
-send more rows, which the join drops; they never change a result.
+shuffle together with the open counts so far; a count whose round is over leaves the table.  A phrase that reaches the threshold marks one of
+``SLOTS`` bytes, chosen by its fingerprint, with the scan; a byte keeps its first mark.  Tasks get these bytes (16 MB whatever the
+corpus) and read off from when on a phrase is active: from the later of the marks of its subphrases, and of theirs.  Where fingerprints meet in a byte, a phrase is active
+too early or without need, which costs work, but its round is one full round all the same and its count is whole.
 
-Fingerprints have 64 bits.  The texts of phrases are read back from all blocks, and if one fingerprint stands for
-two texts the whole is done anew with another seed.
+Fingerprints have 64 bits.  The texts of frequent words are read back from all blocks, and if one fingerprint stands for two words, frequent
+or not, or for two frequent phrases, the whole is done anew with another seed.  Phrases that differ in the first part alone have different
+fingerprints by construction, so a single meeting of others cannot mix two counts.
 
 Defined results: a null text counts as empty, a null language as ``und``; texts without a word add nothing; repeated rows
 count as often as they stand there; texts are worked on whole, in stretches of bounded size; an empty table gives
@@ -23,6 +23,8 @@ empty results; further columns of any name do not matter.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,19 +34,19 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from paperloom.llm.arrow import small_batches
+from paperloom.llm.arrow import enter, forget, small_batches
 from paperloom.llm.common import new_folder, stage, union_all
 from paperloom.plans.staging import delete
 
 #: Words in the longest phrase, and occurrences from which a phrase counts.
 LONGEST = 5
 THRESHOLD = 100
-SHARDS = 4
+SHARDS = 3
 SLOTS = 1 << 24
 #: UTF-8 bytes of text in a block.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 #: Counted phrases that a task holds before it sends them on.
-HELD = 1 << 20
+HELD = 1 << 19
 UNKNOWN = "und"
 
 # Piece ends and word gaps of the contract.
@@ -99,6 +101,7 @@ def _write_blocks(docs: DataFrame, path: str, seed: int, shards: int) -> None:
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches):
+        enter("phrases")
         part, made = TaskContext.get().partitionId(), 0
         open_: dict[str, _Block] = {}
 
@@ -129,7 +132,7 @@ def _write_blocks(docs: DataFrame, path: str, seed: int, shards: int) -> None:
                 block.add(text)
                 if block.size >= BLOCK_BYTES:
                     yield close(lang)
-            while sum(b.size for b in open_.values()) > 4 * BLOCK_BYTES:
+            while sum(b.size for b in open_.values()) > 2 * BLOCK_BYTES:
                 yield close(max(open_, key=lambda x: open_[x].size))
         for lang in list(open_):
             yield close(lang)
@@ -155,7 +158,7 @@ def _slot(marks: np.ndarray, slots: int) -> np.ndarray:
 
 @dataclass
 class _Level:
-    """Phrases of one length in a block: per distinct one its parts, fingerprint and times; per place its number or -1."""
+    """Phrases of one length in a block: per distinct one its parts, fingerprint, times, one place and first scan; per place its number or -1."""
 
     m: int
     a: np.ndarray
@@ -163,6 +166,7 @@ class _Level:
     mark: np.ndarray
     times: np.ndarray
     first: np.ndarray
+    start: np.ndarray
     at: np.ndarray
 
 
@@ -172,10 +176,11 @@ def _levels(ids: np.ndarray, marks: np.ndarray, known: np.ndarray, longest: int)
     times = np.bincount(ids[there], minlength=len(marks))
     first = np.zeros(len(marks), np.int64)
     first[ids[there][::-1]] = there[::-1]
-    level = _Level(1, marks, np.zeros(len(marks), np.uint64), marks, times, first, ids.astype(np.int64))
+    level = _Level(1, marks, np.zeros(len(marks), np.uint64), marks, times, first, np.zeros(len(marks), np.uint8), ids.astype(np.int64))
     yield level
     while level.m < longest and len(level.mark):
-        reached = known[_slot(level.mark, len(known))] > 0
+        marked = known[_slot(level.mark, len(known))]
+        reached = marked > 0
         on = (level.at >= 0) & reached[np.maximum(level.at, 0)]
         here = np.flatnonzero(on[:-1] & on[1:])
         pairs = level.at[here] * len(level.mark) + level.at[here + 1]
@@ -184,153 +189,188 @@ def _levels(ids: np.ndarray, marks: np.ndarray, known: np.ndarray, longest: int)
         at = np.full(len(level.at) - 1, -1, np.int64)
         at[here] = code
         a, b = level.mark[left], level.mark[right]
-        level = _Level(level.m + 1, a, b, _fingerprint(a, b), times, here[first], at)
+        # A phrase is seen from when on its parts are marked and seen themselves.
+        since = np.maximum(marked, level.start)
+        start = np.maximum(since[left], since[right])
+        level = _Level(level.m + 1, a, b, _fingerprint(a, b), times, here[first], start, at)
         yield level
 
 
-def _joined(parts: list[np.ndarray]) -> np.ndarray:
-    """Rows (m, a, b, times) with equal ones added up."""
-    whole = np.concatenate(parts, axis=1)
-    order = np.lexsort(whole[:3])
-    whole = whole[:, order]
-    new = np.flatnonzero(np.concatenate([[True], (whole[:3, 1:] != whole[:3, :-1]).any(axis=0)]))
-    out = whole[:, new]
-    out[3] = np.add.reduceat(whole[3], new)
-    return out
+def _joined(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Rows (a, b, kind, n) with equal phrases added up."""
+    a, b, kind, n = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return a[new], b[new], kind[order[new]], np.add.reduceat(n[order], new)
 
 
 def _scan(blocks: DataFrame, known, scan: int, shards: int, longest: int) -> DataFrame:
-    """(m, a, b, n) of the phrases that may have to be counted in this scan, added up within tasks."""
+    """(a, b, kind, n) of the phrases whose round is open in this scan, added up within tasks.
+
+    ``kind`` holds the length and the first scan of the round, which both follow from the parts.
+    """
 
     def run(batches):
-        table = known.value
-        # Marked within the last round: rounds of phrases above it are open.
-        recent = np.where(table > max(0, scan - shards), table, 0)
-        held: list[np.ndarray] = []
+        enter("phrases")
+        table = _unpacked(known)
+        held: list[tuple[np.ndarray, ...]] = []
 
         def send() -> Iterator[pa.RecordBatch]:
-            rows = _joined(held)
+            columns = [pa.array(c) for c in _joined(held)]
             held.clear()
-            for i in range(0, rows.shape[1], 1 << 16):
-                m, a, b, n = rows[:, i : i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(m.astype(np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(n.view(np.int64))],
-                    names=["m", "a", "b", "n"],
-                )
-
-        for batch in small_batches(batches, "ids", 2 * BLOCK_BYTES):
+            for i in range(0, len(columns[0]), 1 << 16):
+                yield pa.RecordBatch.from_arrays([c[i : i + (1 << 16)] for c in columns], names=["a", "b", "kind", "n"])
+
+        for batch in small_batches(batches, "ids", BLOCK_BYTES):
             for ids, marks in zip(batch.column("ids").to_pylist(), batch.column("marks").to_pylist()):
                 ids, marks = np.frombuffer(ids, np.int32), np.frombuffer(marks, np.uint64)
                 for level in _levels(ids, marks, table, longest):
-                    if level.m > 1:
-                        slots = _slot(level.a, len(table)), _slot(level.b, len(table))
-                        use = np.flatnonzero((recent[slots[0]] > 0) | (recent[slots[1]] > 0))
-                    else:
-                        use = np.arange(len(marks) if scan < shards else 0)
+                    use = np.flatnonzero(level.start.astype(np.int64) > scan - shards)
                     if len(use):
-                        m = np.full(len(use), level.m, np.uint64)
-                        held.append(np.stack([m, level.a[use], level.b[use], level.times[use].astype(np.uint64)]))
-                if sum(p.shape[1] for p in held) > HELD:
+                        kind = level.start[use].astype(np.int32) * 16 + np.int32(level.m)
+                        a, b = level.a[use].view(np.int64), level.b[use].view(np.int64)
+                        held.append((a, b, kind, level.times[use].astype(np.int64)))
+                if sum(len(p[0]) for p in held) > HELD:
                     small = _joined(held)
                     held[:] = [small]
-                    if small.shape[1] > HELD // 2:
+                    if len(small[0]) > HELD // 2:
                         yield from send()
         if held:
             yield from send()
 
-    return blocks.select("ids", "marks").mapInArrow(run, "m int, a bigint, b bigint, n bigint")
+    return blocks.select("ids", "marks").mapInArrow(run, _STATE)
 
 
 def _with_marks(rows: DataFrame) -> DataFrame:
-    """Adds the fingerprint h of each phrase (m, a, b)."""
+    """(m, a, b, h, n, over): length and fingerprint h of each phrase."""
 
     def run(batches):
         for batch in batches:
-            m, a, b = (batch.column(c).to_numpy() for c in ("m", "a", "b"))
-            a, b = a.astype(np.int64).view(np.uint64), b.astype(np.int64).view(np.uint64)
+            a, b = (batch.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("a", "b"))
+            m = batch.column("kind").to_numpy() % 16
             h = np.where(m == 1, a, _fingerprint(a, b)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h)], names=[*batch.schema.names, "h"])
+            columns = [pa.array(m.astype(np.int32)), batch.column("a"), batch.column("b"), pa.array(h), batch.column("n"), batch.column("over")]
+            yield pa.RecordBatch.from_arrays(columns, names=["m", "a", "b", "h", "n", "over"])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{fields}, h bigint")
+    return rows.mapInArrow(run, _SETTLED)
 
 
-_STATE = "m int, a bigint, b bigint, start int, n bigint, reached int"
+_BLOCKS = "lang string, words array<string>, marks binary, ids binary, n bigint, shard int"
+_STATE = "a bigint, b bigint, kind int, n bigint"
+_SETTLED = "m int, a bigint, b bigint, h bigint, n bigint, over boolean"
 
 
 def _count(spark: SparkSession, blocks_path: str, folder: str, threshold: int, shards: int, longest: int) -> DataFrame:
     """(m, a, b, h, n) of every phrase with at least ``threshold`` occurrences."""
-    schema = "lang string, words array<string>, marks binary, ids binary, n bigint, shard int"
-    blocks = spark.read.schema(schema).parquet(blocks_path)
+    blocks = spark.read.schema(_BLOCKS).parquet(blocks_path)
     known = np.zeros(SLOTS, np.uint8)
     state = spark.createDataFrame([], _STATE)
-    done: list[DataFrame] = []
-    reached: list[DataFrame] = []
     scan, last = 0, -1
     while scan <= last + shards or scan < shards:
-        marks = spark.sparkContext.broadcast(known)
+        marks = _shared(spark, known)
         found = _scan(blocks.where(F.col("shard") == scan % shards), marks, scan, shards, longest)
-        none = F.lit(None).cast("int")
-        rows = state.unionByName(found.withColumns({"start": none, "reached": none}))
-        summed = rows.groupBy("m", "a", "b").agg(
-            F.max("start").alias("start"), F.sum("n").alias("n"), F.max("reached").alias("reached")
-        )
-        if reached:
-            when = union_all(reached).select("h", F.col("reached").alias("at"))
-            left, right = when.toDF("a", "at_a"), when.toDF("b", "at_b")
-            summed = summed.join(left, "a", "left").join(right, "b", "left")
-            later = F.when(F.col("at_a").isNotNull() & F.col("at_b").isNotNull(), F.greatest("at_a", "at_b") + 1)
-        else:
-            later = none
-        start = F.coalesce("start", F.when(F.col("m") == 1, 0).otherwise(later))
-        now = summed.withColumn("start", start).where(F.col("start").between(scan - shards + 1, scan))
-        hit = F.when(F.col("n") >= threshold, F.lit(scan))
-        now = now.withColumn("reached", F.coalesce("reached", hit))
-        over = F.col("start") == scan - shards + 1
-        now = now.where(~over | (F.col("n") >= threshold)).select("m", "a", "b", "start", "n", "reached")
-        path = f"{folder}/scan-{scan}"
-        now.write.parquet(path)
-        marks.unpersist()
-        now = spark.read.schema(_STATE).parquet(path)
-        settled_path = f"{folder}/settled-{scan}"
-        _with_marks(now.where(over | (F.col("reached") == scan))).write.parquet(settled_path)
-        settled = spark.read.schema(f"{_STATE}, h bigint").parquet(settled_path)
-        done.append(settled.where(over))
-        fresh = settled.where((F.col("reached") == scan) & (F.col("m") < longest))
-        reached.append(fresh)
+        summed = state.unionByName(found).groupBy("a", "b").agg(F.max("kind").alias("kind"), F.sum("n").alias("n"))
+        over = F.floor(F.col("kind") / 16) == scan - shards + 1
+        enough = F.col("n") >= threshold
+        summed.where(~over | enough).write.parquet(f"{folder}/scan-{scan}")
+        # The counts are written; nothing is made from the table again.
+        marks.destroy()
+        now = spark.read.schema(_STATE).parquet(f"{folder}/scan-{scan}")
+        _with_marks(now.where(enough).withColumn("over", over)).write.parquet(f"{folder}/settled/scan={scan}")
+        reached = _settled(spark, folder).where((F.col("scan") == scan) & (F.col("m") < longest))
         # At most one row per slot comes to the driver.
-        slots = fresh.select(F.col("h").bitwiseAND(SLOTS - 1).cast("int").alias("slot")).distinct().toArrow()
-        if slots.num_rows:
+        slots = reached.select(F.col("h").bitwiseAND(SLOTS - 1).cast("int").alias("slot")).distinct().toArrow()
+        fresh = slots.column(0).to_numpy()
+        fresh = fresh[known[fresh] == 0]
+        if len(fresh):
             last = scan
-            known = known.copy()
-            known[slots.column(0).to_numpy()] = scan + 1
+            known[fresh] = scan + 1
         if scan:
             delete(spark, f"{folder}/scan-{scan - 1}")
+        # What the scan shuffled goes once the driver knows that nothing refers to it.
+        del found, summed
+        spark._jvm.System.gc()
         state = now.where(~over)
         scan += 1
-    return stage(union_all(done).select("m", "a", "b", "h", "n"), "phrase-counts")
+    return _settled(spark, folder).where("over").select("m", "a", "b", "h", "n")
+
+
+def _settled(spark: SparkSession, folder: str) -> DataFrame:
+    """Phrases at or above the threshold after each scan in which their round was open."""
+    return spark.read.schema(f"{_SETTLED}, scan int").parquet(f"{folder}/settled")
+
+
+def _shared(spark: SparkSession, known: np.ndarray):
+    """The table of marks for tasks; packed, as it is mostly empty for small inputs."""
+    return spark.sparkContext.broadcast(zlib.compress(known.tobytes(), 1))
+
 
+def _unpacked(marks) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(marks.value), np.uint8)
 
-def _texts(blocks: DataFrame, known: np.ndarray, longest: int) -> DataFrame:
-    """(h, lang, phrase) of the phrases in the blocks that may have reached the threshold, each once a block."""
-    shared = blocks.sparkSession.sparkContext.broadcast(known)
+
+def _words(blocks: DataFrame, known: np.ndarray) -> DataFrame:
+    """(h, lang, word) of the words in the blocks that may be frequent, each once.
+
+    A task gives lists of the words that it has not given before, by bucket of their fingerprint; a bucket's lists are merged.
+    """
+    spark = blocks.sparkSession
+    shared = _shared(spark, known)
+    buckets = 8 * math.isqrt(max(1, blocks.rdd.getNumPartitions()))
 
     def run(batches):
-        table = shared.value
-        for batch in small_batches(batches, "ids", 2 * BLOCK_BYTES):
-            names = ("lang", "words", "marks", "ids")
-            for lang, words, marks, ids in zip(*(batch.column(c).to_pylist() for c in names)):
-                ids, marks = np.frombuffer(ids, np.int32), np.frombuffer(marks, np.uint64)
-                for level in _levels(ids, marks, table, longest):
-                    use = np.flatnonzero(table[_slot(level.mark, len(table))] > 0)
-                    at = level.first[use]
-                    text = [" ".join([words[w] for w in ids[i : i + level.m].tolist()]) for i in at.tolist()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(level.mark[use].view(np.int64)), pa.array([lang] * len(use), pa.string()), pa.array(text, pa.string())],
-                        names=["h", "lang", "phrase"],
-                    )
+        enter("phrases")
+        table = _unpacked(shared)
+        # A word that meets another under one fingerprint is given too.
+        told: dict[int, tuple[str, str]] = {}
+        for batch in small_batches(batches, "marks", BLOCK_BYTES):
+            dealt: dict[int, list[tuple[int, str, str]]] = {}
+            for lang, words, marks in zip(*(batch.column(c).to_pylist() for c in ("lang", "words", "marks"))):
+                forget(told, HELD)
+                marks = np.frombuffer(marks, np.uint64)
+                use = np.flatnonzero(table[_slot(marks, len(table))] > 0)
+                for h, i in zip(marks[use].view(np.int64).tolist(), use.tolist()):
+                    if told.get(h) != (lang, words[i]):
+                        told[h] = lang, words[i]
+                        dealt.setdefault(h % buckets, []).append((h, lang, words[i]))
+            lists = [list(zip(*rows)) for rows in dealt.values()]
+            columns = [pa.array(list(dealt), pa.int32())]
+            for i, kind in enumerate((pa.int64(), pa.string(), pa.string())):
+                columns.append(pa.array([x[i] for x in lists], pa.list_(kind)))
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "h", "lang", "word"])
+
+    def merge(batches):
+        current, met = None, set()
+        for batch in batches:
+            fresh: list[tuple[int, str, str]] = []
+            for bucket, *lists in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                if bucket != current:
+                    current, met = bucket, set()
+                new = set(zip(*lists)) - met
+                met |= new
+                fresh += new
+            columns = [pa.array([x[i] for x in fresh], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["h", "lang", "word"])
+
+    lists = blocks.select("lang", "words", "marks").mapInArrow(
+        run, "bucket int, h array<bigint>, lang array<string>, word array<string>"
+    )
+    return lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "h bigint, lang string, word string")
+
 
-    return blocks.mapInArrow(run, "h bigint, lang string, phrase string")
+def _named(counts: DataFrame, words: DataFrame, longest: int) -> DataFrame:
+    """Counted phrases with their language and text: that of all words but the last, and the last word."""
+    level = counts.where("m = 1").join(words, "h").withColumn("last", F.col("phrase"))
+    levels = [level]
+    for m in range(2, longest + 1):
+        front = level.select(F.col("h").alias("a"), "lang", F.col("phrase").alias("front"))
+        back = level.select(F.col("h").alias("b"), "last")
+        level = counts.where(F.col("m") == m).join(front, "a").join(back, "b")
+        level = level.withColumn("phrase", F.concat("front", F.lit(" "), "last")).select(*levels[0].columns)
+        level = stage(level, f"phrases-{m}")
+        levels.append(level)
+    return union_all(levels).drop("last")
 
 
 def count_phrases(
@@ -345,20 +385,20 @@ def count_phrases(
     for seed in range(8):
         folder = new_folder(spark, "phrases")
         _write_blocks(docs, f"{folder}/blocks", seed, shards)
-        counts = _count(spark, f"{folder}/blocks", folder, threshold, shards, longest)
+        counts = stage(_count(spark, f"{folder}/blocks", folder, threshold, shards, longest), "phrase-counts")
         known = np.zeros(SLOTS, np.uint8)
-        slots = counts.select(F.col("h").bitwiseAND(SLOTS - 1).cast("int").alias("slot")).distinct().toArrow()
+        slots = counts.where("m = 1").select(F.col("h").bitwiseAND(SLOTS - 1).cast("int").alias("slot")).distinct().toArrow()
         known[slots.column(0).to_numpy()] = 1
-        schema = "lang string, words array<string>, marks binary, ids binary, n bigint, shard int"
-        blocks = spark.read.schema(schema).parquet(f"{folder}/blocks")
-        met = _texts(blocks.select("lang", "words", "marks", "ids"), known, longest)
-        ends = [f("_t").alias(n) for f, n in ((F.min, "low"), (F.max, "high"))]
-        met = met.select("h", F.struct("lang", "phrase").alias("_t")).groupBy("h").agg(*ends)
-        named = stage(counts.join(met, "h"), "phrase-texts")
-        if named.where("low <> high").isEmpty():
-            whole = named.select("m", "a", "b", "h", "n", "low.lang", "low.phrase")
+        blocks = spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks")
+        met = _words(blocks, known).join(counts.where("m = 1").select("h"), "h")
+        ends = [f(F.struct("lang", "word")).alias(n) for f, n in ((F.min, "low"), (F.max, "high"))]
+        words = stage(met.groupBy("h").agg(*ends), "words")
+        alike = counts.groupBy("h").count().where("count > 1")
+        if words.where("low <> high").isEmpty() and alike.isEmpty():
+            words = words.select("h", "low.lang", F.col("low.word").alias("phrase"))
+            whole = _named(counts, words, longest).select("m", "a", "b", "h", "n", "lang", "phrase")
             return whole, blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    raise RuntimeError("fingerprints of different phrases meet under every seed")
+    raise RuntimeError("fingerprints of different words or phrases meet under every seed")
 
 
 # --- collocations -------------------------------------------------------------
