@@ -11,7 +11,7 @@ A file: ``MAGIC``, the length of a JSON header (u32), the header, code lengths (
 counts once the manifest names it; a repeated task writes the same bytes under the same name.
 
 Defined results: a null text has the end id alone; documents without an id come first; equal ids are ordered by a hash of
-the text; repeated rows are repeated documents; an empty table gives no file.
+the text; repeated rows are repeated documents; an empty table gives no file and a manifest without rows.
 """
 
 from __future__ import annotations
@@ -28,11 +28,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.functions.literals import constant
-from paperloom.llm.arrow import chunks, forget, get_file, put_file, small_batches, stretches
+from paperloom.llm.arrow import chunks, enter, forget, get_file, put_file, small_batches, stretches
 from paperloom.llm.common import new_folder
 from paperloom.llm.shards import _Ranges
 
 MAGIC = b"IDHUF001"
+MANIFEST = "file string, start bigint, docs bigint, ids bigint, bytes bigint"
 MAX_BITS = 16
 #: Chunks, and pieces of them, that a worker remembers.
 REMEMBERED = 600_000
@@ -202,6 +203,7 @@ def tokenize(docs: DataFrame, tokenizer_file: str, keep: list[str], end_id: int
     end = b"" if end_id is None else int(end_id).to_bytes(width, "little")
 
     def run(batches):
+        enter("tokens")
         if (tokenizer_file, width) not in _TOKENS:
             _TOKENS[tokenizer_file, width] = Tokens(data.value.decode(), width)
         encode = _TOKENS[tokenizer_file, width].encode
@@ -263,6 +265,7 @@ def write_token_files(
     ids = spark.read.schema(made.schema).parquet(folder)
     counted = count_ids(ids, id_width).collect()
     if not counted:
+        spark.createDataFrame([], MANIFEST).write.parquet(f"{path}/manifest")
         return path
     counts = np.zeros(max(r[0] for r in counted) + 1, np.int64)
     for r in counted:
@@ -341,7 +344,7 @@ def write_token_files(
                 rows.append((doc, n, b, o))
         yield from close()
 
-    manifest = ordered.mapInArrow(write, "file string, start bigint, docs bigint, ids bigint, bytes bigint")
+    manifest = ordered.mapInArrow(write, MANIFEST)
     manifest.write.parquet(f"{path}/manifest")
     return path
 

@@ -114,7 +114,35 @@ def test_token_files_hold_all_documents_in_order(spark, make_docs):
     ids = [r.doc_id if r.doc_id is not None else -1 for r in got]
     assert ids == sorted(ids)
     empty = tokenbin.write_token_files(make_docs([]), JSON)
-    assert empty
+    read = tokenbin.read_token_files(spark, empty)
+    assert read.collect() == [] and read.columns == ["doc_id", "start", "n_tokens", "ids"]
+
+
+def test_a_worker_gives_back_what_other_operators_left():
+    kept = {"a": 1}
+    arrow.enter("one", kept.clear)
+    arrow.enter("one", kept.clear)
+    assert kept
+    arrow.enter("two")
+    assert not kept and set(arrow._USED) == {"two"}
+
+
+def test_long_texts_are_encoded_in_stretches(spark):
+    """Texts of over a million characters, in words, without any gap, and in one script after the other."""
+    rng = random.Random(8)
+    words = " ".join(rng.choices(["alpha", "Beta's", "12345", "δέλτα", "日本語", "\n\n  x"], k=250_000))
+    # Without a gap the pattern still cuts: digits, letters and marks take turns.
+    gapless = "".join(rng.choices(["ab", "12", "!?", "é"], k=400_000))
+    docs = spark.createDataFrame([(1, words), (2, gapless)], "doc_id long, text string")
+    assert min(len(words), len(gapless)) > 1 << 19 and len(words) > 1 << 20
+    ranks = bpe.read_ranks(open(RANKS, "rb").read())
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = {r.doc_id: bytes(r.ids) for r in bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN, ["doc_id"]).collect()}
+    for doc, text in ((1, words), (2, gapless)):
+        assert got[doc] == np.array(library.encode_ordinary(text), "<u4").tobytes()
+    tokens = {r.doc_id: bytes(r.ids) for r in tokenbin.tokenize(docs, JSON, ["doc_id"]).collect()}
+    for doc, text in ((1, words), (2, gapless)):
+        assert tokens[doc] == np.array(Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids + [0], "<u4").tobytes()
 
 
 def pages(spark, rows):
