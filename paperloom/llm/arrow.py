@@ -15,8 +15,6 @@ from pyarrow import compute, fs
 #: Unicode white space, as the tokenizers' patterns see it.
 WHITE = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-#: White space next to a space.
-_ODD = re.compile(f"[{WHITE}] | [{WHITE}]")
 _EDGE = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])")
 
 
@@ -71,39 +69,6 @@ def forget(known: dict, most: int) -> None:
         known.update(newer)
 
 
-class Remembered:
-    """Bytes for whole texts out of those of their chunks, each asked for once as long as it is remembered.
-
-    Where no white space but single spaces stands between words, a text is cut at these, which is faster than by pattern:
-    a chunk then is a space and a word.  ``most`` entries of either kind are remembered.
-    """
-
-    def __init__(self, ask: Callable[[list[str]], list[bytes]], most: int):
-        self.ask = ask
-        self.most = most
-        self.of_chunk: dict[str, bytes] = {}
-        #: By word, for a space and the word.
-        self.of_word: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        forget(self.of_chunk, self.most)
-        forget(self.of_word, self.most)
-        words = [None if _ODD.search(t) else t.split(" ") for t in texts]
-        cut = [chunks(t) if w is None else [w.pop(0)] for t, w in zip(texts, words)]
-        known = self.of_word.get
-        found = [list(map(known, w)) if w else [] for w in words]
-        lacking = [i for i, f in enumerate(found) if None in f]
-        new_words = list({w for i in lacking for w, f in zip(words[i], found[i]) if f is None})
-        new = list(set(itertools.chain.from_iterable(cut)).difference(self.of_chunk))
-        values = self.ask(new + [" " + w for w in new_words])
-        self.of_chunk.update(zip(new, values))
-        self.of_word.update(zip(new_words, values[len(new) :]))
-        for i in lacking:
-            found[i] = list(map(self.of_word.__getitem__, words[i]))
-        of_chunk = self.of_chunk.__getitem__
-        return [b"".join([*map(of_chunk, c), *f]) for c, f in zip(cut, found)]
-
-
 def small_batches(
     batches: Iterable[pa.RecordBatch], column: str, size: int = 1 << 21, rows: int = 1024
 ) -> Iterator[pa.RecordBatch]:

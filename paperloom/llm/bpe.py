@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from paperloom.llm.arrow import Remembered, enter, forget, get_file, small_batches, stretches
+from paperloom.llm.arrow import chunks, enter, forget, get_file, small_batches, stretches
 
 MATRIX_BYTES = 256
 MATRIX_CELLS = 1 << 19
@@ -93,7 +93,7 @@ class ByteBpe:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self._pieces: dict[str, bytes] = {}
-        self._texts = Remembered(self._ask, REMEMBERED)
+        self._chunks: dict[str, bytes] = {}
 
     def _matrix(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of pieces of about one length."""
@@ -180,17 +180,19 @@ class ByteBpe:
         flush()
         return out
 
-    def _ask(self, new: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        forget(self._chunks, REMEMBERED)
         forget(self._pieces, REMEMBERED)
+        cut = [chunks(t) for t in texts]
+        new = list(set(itertools.chain.from_iterable(cut)).difference(self._chunks))
         split = [self.pattern.findall(c) for c in new]
         pieces = list(set(itertools.chain.from_iterable(split)).difference(self._pieces))
         self._pieces.update(zip(pieces, self._merge([p.encode() for p in pieces])))
         known = self._pieces.__getitem__
-        return [b"".join(map(known, s)) for s in split]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers."""
-        return self._texts.encode(texts)
+        self._chunks.update(zip(new, (b"".join(map(known, s)) for s in split)))
+        of_chunk = self._chunks.__getitem__
+        return [b"".join(map(of_chunk, c)) for c in cut]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
