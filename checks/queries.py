@@ -174,7 +174,7 @@ def feed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_entries_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages of ``feed_ingest`` as files, read entry by entry."""
     path = scratch(spark)
-    feed_pages(spark, sf_dir).write.partitionBy(*feed.PAGE_COLUMNS).text(path)
+    feed_entries.write_pages(feed_pages(spark, sf_dir), path)
     rows = feed.valid_papers(feed_entries.stream_entries(spark, path, lambda rows, name: staged(rows)))
     return rows.withColumns({c: bar(c) for c in ("categories", "authors", "sources")})
 

@@ -89,3 +89,15 @@ def test_missing_ranges(spark, make_pages):
     assert sorted((r.source_ordinal, r.first_missing, r.last_missing, r.pages) for r in got.collect()) == [
         (0, 200, 400, 3), (0, 600, 800, 3), (2, 100, 100, 1), (3, 100, 100, 1),
     ]
+
+
+def test_written_pages_are_those_of_the_partitioned_writer(spark, tmp_path, make_pages):
+    names = ["category:a", "50% [x]=y/z", "é 日本", "a\\b'c\"", "", None]
+    pages = make_pages(*[(feed_page(feed_entry(str(i))), i if name else None, name, 100 * i) for i, name in enumerate(names)], (None, 7, "s", 0))
+    pages.write.partitionBy(*feed.PAGE_COLUMNS).text(str(tmp_path / "spark"))
+    feed_entries.write_pages(pages, f"file://{tmp_path}/own")
+    want = spark.read.schema(pages.schema).text(str(tmp_path / "spark"), wholetext=True)
+    got = feed.read_feed_pages(spark, str(tmp_path / "own"))
+    assert rows_of(got, *pages.columns) == rows_of(want, *pages.columns)
+    # Spark's writer leaves a file of its own per task, and the driver has moved none of these.
+    assert sorted({p.name for p in (tmp_path / "own").rglob("*") if p.is_file()}) == ["page.txt"]
