@@ -490,16 +490,18 @@ def streamed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     folder = scratch(spark)
-    for i in range(4):
-        landed.where(day == i).coalesce(1).write.mode("append").parquet(f"{folder}/landing")
-    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landing")
+    landed.where("false").write.parquet(f"{folder}/landing")
+    stream = spark.readStream.schema(landed.schema).parquet(f"{folder}/landing")
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/out/part={number}")
 
-    first_arrivals(stream).writeStream.foreachBatch(keep).outputMode("update").option(
-        "checkpointLocation", f"{folder}/progress"
-    ).trigger(availableNow=True).start().awaitTermination()
+    # A day's files, however many, are one batch; the next start goes on from the state of the last.
+    for i in range(4):
+        landed.where(day == i).write.mode("append").parquet(f"{folder}/landing")
+        first_arrivals(stream).writeStream.foreachBatch(keep).outputMode("update").option(
+            "checkpointLocation", f"{folder}/progress"
+        ).trigger(availableNow=True).start().awaitTermination()
     seen = spark.read.parquet(f"{folder}/out").drop("part")
     rest = [c for c in seen.columns if c not in ("paper_id", "batch")]
     last = seen.groupBy("paper_id").agg(F.max_by(F.struct(*rest), "batch").alias("last")).select("paper_id", "last.*")

@@ -16,12 +16,12 @@ SCHEMA = "paper_id string, title string, authors array<string>, sources array<st
 DAY = dt.datetime(2026, 3, 1)
 
 
-def run(spark, folder, checkpoint, keep="30 days"):
+def run(spark, folder, checkpoint, keep="30 days", **more):
     """Latest row per paper of every batch, batch by batch."""
     batches = []
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(str(folder))
     (
-        first_arrivals(stream, keep)
+        first_arrivals(stream, keep, **more)
         .writeStream.foreachBatch(lambda rows, n: batches.append({r.paper_id: r for r in rows.collect()}))
         .outputMode("update")
         .option("checkpointLocation", str(checkpoint))
@@ -107,3 +107,29 @@ def test_feed_streams_merge_over_batches(spark, small_config, tmp_path):
     assert seen[first, "2"] == ["category:k"] and seen[second, "2"] == ["category:k", "other"]
     assert (second, "1") not in seen
     assert [(r.source_name, r.reason) for r in store.quarantine().collect()] == [("broken", "unreadable page")]
+
+
+def test_a_batch_has_a_bounded_number_of_states(spark, tmp_path):
+    folder = tmp_path / "in"
+    landing(folder, 0, [row(str(i), f"t{i}", "s1", 0) for i in range(300)])
+    stream = spark.readStream.schema(SCHEMA).json(str(folder))
+    seen = []
+    query = (
+        first_arrivals(stream, groups=4).writeStream.foreachBatch(lambda rows, n: seen.extend(rows.collect()))
+        .outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert sorted(r.paper_id for r in seen) == sorted(str(i) for i in range(300))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) == 4
+
+
+def test_ids_of_one_group_are_forgotten_each_by_its_own_time(spark, tmp_path):
+    folder = tmp_path / "in"
+    landing(folder, 0, [row("1", "first", "s1", 0), row("2", "first", "s1", 0), row(None, "none", "s1", 0)])
+    landing(folder, 1, [row("2", "again", "s2", 8), row(None, "none again", "s2", 8)])
+    landing(folder, 2, [row("9", "x", "s", 15)])
+    landing(folder, 3, [row("1", "anew", "s4", 16), row("2", "more", "s4", 16), row(None, "more", "s4", 16)])
+    last = [b for b in run(spark, folder, tmp_path / "c", "10 days", groups=1) if b][-1]
+    assert {p: (r.title, r.sources) for p, r in last.items()} == {
+        "1": ("anew", ["s4"]), "2": ("first", ["s1", "s2", "s4"]), None: ("none", ["s1", "s2", "s4"]),
+    }
