@@ -9,6 +9,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import compute, fs
 
@@ -85,6 +86,18 @@ def small_batches(
             yield batch.slice(first)
 
 
+def joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string or binary column one after another, and where each value starts and the last one ends; a null has none."""
+    column = column.fill_null("" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"") if column.null_count else column
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    starts = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+    if not starts[-1] - starts[0]:
+        return np.zeros(0, np.uint8), starts - starts[0]
+    return np.frombuffer(column.buffers()[2], np.uint8)[starts[0] : starts[-1]], starts - starts[0]
+
+
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith("file:"):
         path = "/" + path[5:].lstrip("/")

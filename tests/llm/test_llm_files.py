@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -118,6 +119,58 @@ def test_token_files_hold_all_documents_in_order(spark, make_docs):
     assert read.collect() == [] and read.columns == ["doc_id", "start", "n_tokens", "ids"]
 
 
+def test_words_reach_the_library_together_and_keep_their_ids(monkeypatch):
+    rng = random.Random(4)
+    letters = ["a", "st", "The", "é", "×", "÷", "ñ", "ß", "µ", "ª", "ā", "ж", "δ", "ʰ", "ˆ", "日", "が", "ế", "🙂", "e\u0301", "½", "7", "٣"]
+    gaps = [" ", "  ", "\n", "\t ", " \n", "\x0b", "\x1c", "\x00", "\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "…"]
+    marks = [".", ",", "'", "'s", "'ll", "''", "(", "»", "\u201d", "。", "#1", "<|endoftext|>"]
+    texts = odd_texts(6) + ["".join(rng.choice(rng.choice([letters, letters, gaps, marks])) for _ in range(rng.randint(1, 60))) for _ in range(3000)]
+    words = sorted({"".join(rng.choices("abcdeéžя", k=9)) for _ in range(6000)})
+    with open(JSON) as f:
+        data = f.read()
+    library = Tokenizer.from_str(data)
+    library.encode_special_tokens = True
+    told = lambda t: [np.array(e.ids, "<u2").tobytes() for e in library.encode_batch(t, add_special_tokens=False)]
+    for block, known in ((tokenbin.BLOCK_BYTES, tokenbin.REMEMBERED), (50, 100)):
+        monkeypatch.setattr(tokenbin, "BLOCK_BYTES", block)
+        monkeypatch.setattr(tokenbin, "REMEMBERED", known)
+        model = tokenbin.Tokens(data, 2)
+        for part in (texts, texts[:200]):
+            assert model.encode(pa.array([None, "", *part, ""])) == [b"", b"", *told(part), b""]
+
+    class Counted:
+        asked = 0
+
+        def __init__(self, own):
+            self.own = own
+
+        def encode_batch_fast(self, texts, **how):
+            Counted.asked += len(texts)
+            return self.own.encode_batch_fast(texts, **how)
+
+    monkeypatch.undo()
+    model = tokenbin.Tokens(data, 2)
+    for name, own in list(vars(model).items()):
+        if isinstance(own, Tokenizer):
+            setattr(model, name, Counted(own))
+    assert model.encode(pa.array([" ".join(words)])) == told([" ".join(words)])
+    assert Counted.asked < len(words) / 50
+
+
+def test_a_group_is_decoded_from_its_own_bytes(spark, make_docs, monkeypatch):
+    path = tokenbin.write_token_files(make_docs([(i, f"text {i} " * 40, None) for i in range(60)]), JSON, block_ids=50)
+    unpack, read, n = tokenbin.unpack, [], 0
+    monkeypatch.setattr(tokenbin, "unpack", lambda bits, *more: read.append(len(bits)) or unpack(bits, *more))
+    for r in spark.read.parquet(f"{path}/manifest").collect():
+        data = arrow.get_file(r.file)
+        whole = [ids for *_, group in tokenbin.decode_file(data) for ids in group]
+        read.clear()
+        assert [ids for *_, group in tokenbin.decode_file(data, 200) for ids in group] == whole
+        assert sum(read) < len(data)
+        n += len(whole)
+    assert n == 60
+
+
 def test_a_worker_gives_back_what_other_operators_left():
     kept = {"a": 1}
     arrow.enter("one", kept.clear)
