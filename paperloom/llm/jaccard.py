@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paperloom.llm.arrow import enter, small_batches
 from paperloom.llm.common import stage
-from paperloom.llm.graphs import components
+from paperloom.llm.graphs import components, stars
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -38,6 +38,8 @@ DEPTHS = (2, 4, 6)
 TARGET = 0.9995
 LIMIT = 2048
 TILE = 512
+#: Edges that a task joins to stars at a time.
+EDGES = 1 << 18
 SKETCH_BITS = 256
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _HALF = np.uint64(32)
@@ -289,8 +291,13 @@ def _runs(batches, keys: list[str]):
         yield pa.Table.from_batches(held)
 
 
+def _star_batch(left: list[int], right: list[int]) -> pa.RecordBatch:
+    a, b = stars(np.array(left, np.int64), np.array(right, np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
 def _alike(rows: DataFrame) -> DataFrame:
-    """Edges (a, b) that join the sets of a bucket whose sketches allow the least similarity.
+    """Edges (a, b) that join the sets of a bucket whose sketches allow the least similarity, as the stars of each task.
 
     A pair of that similarity agrees in 90 % of the bits; five deviations less are let through.
     """
@@ -327,10 +334,10 @@ def _alike(rows: DataFrame) -> DataFrame:
                     break
                 root, rest = int(rest[0]), rest[1:]
                 queue = [root]
-            if len(left) > 50_000:
-                yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+            if len(left) > EDGES:
+                yield _star_batch(left, right)
                 left, right = [], []
-        yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+        yield _star_batch(left, right)
 
     return rows.mapInArrow(run, "a bigint, b bigint")
 
@@ -378,11 +385,17 @@ def compare_sets(sets: list[np.ndarray], copies: np.ndarray, part: np.ndarray |
 
 
 def _compared(rows: DataFrame) -> DataFrame:
-    """Per tile: (set_id, links) of its sets, and forest edges as (a, b)."""
+    """Per tile (set_id, links) of its sets, and per task the stars of the forests as (a, b)."""
     schema = "set_id bigint, links bigint, a bigint, b bigint"
 
+    def joined(left, right):
+        edges = _star_batch(left, right)
+        none = pa.nulls(edges.num_rows, pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, *edges.columns], names=["set_id", "links", "a", "b"])
+
     def run(batches):
         enter("jaccard", _forget_powers)
+        left, right = [], []
         for table in _runs(batches, ["block", "tile"]):
             if table.num_rows < 2:
                 continue
@@ -392,17 +405,14 @@ def _compared(rows: DataFrame) -> DataFrame:
             sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
             links, forest = compare_sets(sets, table.column("copies").to_numpy(), part if crossed else None)
             some = np.flatnonzero(links)
-            a, b = [int(ids[i]) for i, _ in forest], [int(ids[j]) for _, j in forest]
-            none = [None] * len(a)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids[some].tolist() + none, pa.int64()),
-                    pa.array(links[some].tolist() + none, pa.int64()),
-                    pa.array([None] * len(some) + a, pa.int64()),
-                    pa.array([None] * len(some) + b, pa.int64()),
-                ],
-                names=["set_id", "links", "a", "b"],
-            )
+            none = pa.nulls(len(some), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), none, none], names=["set_id", "links", "a", "b"])
+            left += [int(ids[i]) for i, _ in forest]
+            right += [int(ids[j]) for _, j in forest]
+            if len(left) > EDGES:
+                yield joined(left, right)
+                left, right = [], []
+        yield joined(left, right)
 
     return rows.mapInArrow(run, schema)
 
@@ -434,7 +444,7 @@ def similar_classes(docs: DataFrame) -> DataFrame:
     met, sets = buckets(with_set.select("set_id", F.explode("paths").alias("path")), sets_of)
     sketches = sets.select("set_id", "sketch", (F.octet_length("shingles") / 8).cast("int").alias("size"))
     near = _tiled(met.join(sketches, "set_id"), "path", "n", LIMIT)
-    edges = _alike(near.repartition("path", "tile").sortWithinPartitions("path", "tile"))
+    edges = stage(_alike(near.repartition("path", "tile").sortWithinPartitions("path", "tile")), "edges")
     blocks = components(edges).select(F.col("node").alias("set_id"), F.col("root").alias("block"))
     sizes = blocks.groupBy("block").agg(F.count("*").alias("n"))
     full = blocks.join(sizes, "block").join(members.select("set_id", "copies"), "set_id")

@@ -245,6 +245,26 @@ def test_components(spark):
     assert graphs.components(edges.limit(0)).count() == 0
 
 
+def test_stars_take_one_step_and_tiles_leave_stars(spark, make_docs, monkeypatch):
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(-40, 40, (2, 60))
+    node, root = graphs.stars(a, b)
+    want = {r.node: r.root for r in graphs.components(spark.createDataFrame(list(zip(a.tolist(), b.tolist())), "a long, b long")).collect()}
+    assert dict(zip(node.tolist(), root.tolist())) == {n: r for n, r in want.items() if n != r} and len(set(node.tolist())) == len(node)
+    written, stage = [], graphs.stage
+    monkeypatch.setattr(graphs, "stage", lambda rows, name: written.append(name) or stage(rows, name))
+    edges = spark.createDataFrame([(int(n), int(r)) for n, r in zip(node, root)] * 2, "a long, b long")
+    assert {r.node: r.root for r in graphs.components(edges).collect() if r.node != r.root} == dict(zip(node.tolist(), root.tolist()))
+    assert written == ["least"]
+    # Each text is like the one before, and the ends are not alike.
+    words = [f"w{i}" for i in range(200)]
+    docs = make_docs([(i, " ".join([f"v{k}" for k in range(4 * i)] + words[4 * i :]), None) for i in range(25)])
+    written.clear()
+    got = jaccard.similar_classes(docs.coalesce(1)).collect()
+    assert {r.class_id for r in got} == {0} and max(r.n_links for r in got) < 24
+    assert written == ["least", "least"]
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(8)
     clean = [(i, sentence("en", 120, rng), "en", "s", 0) for i in range(60)]
