@@ -5,8 +5,8 @@ row merges its leftmost pair of least rank, found in a hash table of all mergeab
 rows without a mergeable pair leave the matrix.  Pieces beyond ``MATRIX_BYTES`` go through a heap, which merges in
 the same order without a round per merge over the whole row.
 
-Known pieces and chunks are remembered; beyond a fixed number of entries the older half is forgotten.  Texts are worked on in stretches, so memory
-does not follow the length of a text.
+Texts are cut a block at a time where no match of the pattern goes on, and every distinct chunk is cut by the pattern and encoded once; known
+chunks are remembered, and beyond a fixed number of them the older half is forgotten.  Besides a text and its ids, memory does not follow its length.
 
 Defined results: a null text counts as empty and has no ids; repeated rows give repeated results; an empty table
 gives an empty table; a column that is to be kept must not be named ``ids`` or ``decoded``.
@@ -23,12 +23,17 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from paperloom.llm.arrow import chunks, enter, forget, get_file, small_batches, stretches
+from paperloom.llm.arrow import enter, get_file, joined, small_batches
+from paperloom.llm.tokenbin import Chunked, _meets
 
 MATRIX_BYTES = 256
 MATRIX_CELLS = 1 << 19
-#: Entries that a worker remembers.
-REMEMBERED = 200_000
+#: Chunks that a worker remembers.
+REMEMBERED = 1_000_000
+#: Text that is encoded at a time.
+BATCH_BYTES = 1 << 22
+#: The pattern of which it is known that letters, digits and marks are matched apart.
+PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NONE = np.uint32(0xFFFFFFFF)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -83,8 +88,9 @@ class PairTable:
         return out
 
 
-class ByteBpe:
+class ByteBpe(Chunked):
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        super().__init__(np.dtype("<u4"), _meets(pattern == PLAIN))
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         self.pairs = PairTable(ranks)
@@ -92,8 +98,10 @@ class ByteBpe:
         self.tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self._pieces: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
+        self.token_bytes = pa.array(self.tokens, pa.binary())
+
+    def _most(self) -> int:
+        return REMEMBERED
 
     def _matrix(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of pieces of about one length."""
@@ -180,22 +188,31 @@ class ByteBpe:
         flush()
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _learn(self, new: list[bytes]) -> None:
+        split = [self.pattern.findall(c.decode()) for c in new]
+        pieces = list(set(itertools.chain.from_iterable(split)))
+        ids = dict(zip(pieces, self._merge([p.encode() for p in pieces])))
+        self.known.update(zip(new, (ids[s[0]] if len(s) == 1 else b"".join(map(ids.__getitem__, s)) for s in split)))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        forget(self._chunks, REMEMBERED)
-        forget(self._pieces, REMEMBERED)
-        cut = [chunks(t) for t in texts]
-        new = list(set(itertools.chain.from_iterable(cut)).difference(self._chunks))
-        split = [self.pattern.findall(c) for c in new]
-        pieces = list(set(itertools.chain.from_iterable(split)).difference(self._pieces))
-        self._pieces.update(zip(pieces, self._merge([p.encode() for p in pieces])))
-        known = self._pieces.__getitem__
-        self._chunks.update(zip(new, (b"".join(map(known, s)) for s in split)))
-        of_chunk = self._chunks.__getitem__
-        return [b"".join(map(of_chunk, c)) for c in cut]
+        return super().encode(pa.array(texts, pa.string()) if isinstance(texts, list) else texts)
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.decode_all(ids, np.array([0, len(ids) // 4]))[0].as_py()
+
+    def decode_all(self, ids: bytes, before: np.ndarray) -> pa.Array:
+        """The bytes that ids stand for, of each text; ``before``: how many ids stand before each and at the end."""
+        taken = self.token_bytes.take(pa.array(np.frombuffer(ids, "<u4")))
+        data, starts = joined(taken)
+        return _values(data, starts[before])
+
+
+def _values(data: bytes | np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Binary values that stand one after another, from where each starts and the last one ends."""
+    places = pa.py_buffer(np.ascontiguousarray(starts, np.int64))
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, places, pa.py_buffer(data)])
+    return whole.cast(pa.binary())
 
 
 _MODELS: dict[tuple[str, str], ByteBpe] = {}
@@ -224,20 +241,11 @@ def encode_texts(docs: DataFrame, rank_file: str, pattern: str, keep: list[str],
     def run(batches):
         enter("bpe", _forget_models)
         model = _model(rank_file, pattern, data.value)
-        for batch in small_batches(batches, "_text"):
-            ids = []
-            for text in batch.column("_text").to_pylist():
-                ids.append([text or ""])
-            short = [i for i, t in enumerate(ids) if len(t[0]) <= 1 << 20]
-            encoded: list = [None] * len(ids)
-            for i, e in zip(short, model.encode([ids[i][0] for i in short])):
-                encoded[i] = e
-            for i, e in enumerate(encoded):
-                if e is None:
-                    encoded[i] = b"".join(model.encode([part])[0] for part in stretches(ids[i][0]))
-            columns = [batch.column(c) for c in keep] + [pa.array(encoded, pa.binary())]
+        for batch in small_batches(batches, "_text", BATCH_BYTES, 1 << 16):
+            ids, before = model.lay_out(batch.column("_text"))
+            columns = [batch.column(c) for c in keep] + [_values(ids, 4 * before)]
             if decode:
-                columns.append(pa.array([model.decode(e) for e in encoded], pa.binary()))
+                columns.append(model.decode_all(ids, before))
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "ids", *["decoded"] * decode])
 
     rows = docs.select(*keep, F.col("text").alias("_text"))

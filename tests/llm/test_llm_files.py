@@ -51,6 +51,37 @@ def test_bpe_forgets_without_harm(monkeypatch):
     assert [model.encode([t])[0] for t in texts] == model.encode(texts)
 
 
+@pytest.mark.parametrize("block,known", [(40, 25), (1 << 24, 1_000_000)])
+def test_bpe_lays_out_blocks_of_texts(monkeypatch, block, known):
+    monkeypatch.setattr(tokenbin, "BLOCK_BYTES", block)
+    monkeypatch.setattr(bpe, "REMEMBERED", known)
+    ranks = bpe.read_ranks(open(RANKS, "rb").read())
+    texts = [None, "", *odd_texts(7, 60), None, "ÀÿÀ÷×1'S a'b 2's ,'ll ü'sü", "a\u2003b\xa0 c\u3000 d", "e\x85 f\u1680 g", ""]
+    for pattern in (public_tokenizers.PATTERN, r"\s*[^\s]+|\s+"):
+        other = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        model = bpe.ByteBpe(ranks, pattern)
+        # A slice of a longer column, as batches are.
+        ids, before = model.lay_out(pa.array(["skipped", *texts]).slice(1))
+        decoded = model.decode_all(ids, before).to_pylist()
+        for i, text in enumerate(texts):
+            own = np.frombuffer(ids, "<u4")[before[i] : before[i + 1]].tolist()
+            assert own == other.encode_ordinary(text or "") and decoded[i] == (text or "").encode()
+
+
+def test_bpe_cuts_and_merges_a_word_once():
+    model = bpe.ByteBpe(bpe.read_ranks(open(RANKS, "rb").read()), public_tokenizers.PATTERN)
+    cut, merged, pattern, merge = [], [], model.pattern, model._merge
+
+    class Counted:
+        def findall(self, text):
+            cut.append(text)
+            return pattern.findall(text)
+
+    model.pattern, model._merge = Counted(), lambda pieces: merged.extend(pieces) or merge(pieces)
+    model.encode([f" wordily{mark} wordily{i}" for mark in ".,;:!?" for i in range(10)] * 3)
+    assert sorted(cut) == sorted({" wordily", *".,;:!?", *"0123456789"}) and sorted(merged) == sorted(c.encode() for c in cut)
+
+
 def test_bpe_query_shape(make_docs):
     rows = [(i, t, None) for i, t in enumerate(HOSTILE)] + [(0, "", None), (None, "again", None)]
     got = bpe.encode_texts(make_docs(rows), RANKS, public_tokenizers.PATTERN, ["doc_id", "pos"], decode=True).collect()
